@@ -27,13 +27,11 @@ from brandflow.operators import (
     correction_factors,
     cseg_allocation_join,
     cseg_allocation_window,
-    gain_loss_matrix,
     household_cseg,
     spend_by_household_brand,
 )
 from brandflow.plans import VARIANTS, gain_loss
 from brandflow.sources import (
-    bucket_names,
     read_purchase_store,
     read_weighted_store,
     scratch_path,
@@ -164,8 +162,9 @@ def q_cseg_allocation_window(spark, sf_dir):
 
 
 def q_gain_loss_matrix(spark, sf_dir):
-    _, _, bm, _ = _panel(spark, sf_dir)
-    return gain_loss_matrix(cseg_allocation_window(_v6_spent(spark, sf_dir)), bucket_names(bm))
+    # V6 stages straight on the derived purchases (no store).
+    p, hh, bm, per = _panel(spark, sf_dir)
+    return gain_loss(p, hh, bm, per, variant="v6")
 
 
 def q_purchase_store(spark, sf_dir):

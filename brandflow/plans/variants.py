@@ -41,6 +41,7 @@ from ..operators import (
     spend_by_household_brand,
 )
 from ..sources.brand_map import bucket_names
+from ..sources.stores import scratch_root
 
 
 @dataclass(frozen=True)
@@ -71,9 +72,22 @@ def allocated_spend(
     periods: Periods,
     variant: Variant,
     *,
-    checkpoint: bool = False,
+    checkpoint: bool | None = None,
 ) -> DataFrame:
-    """Everything up to C8/C9: ``hhkey, brand, spent_p1, spent_p2, cseg_p1, cseg_p2, cseg``."""
+    """Everything up to C8/C9: ``hhkey, brand, spent_p1, spent_p2, cseg_p1, cseg_p2, cseg``.
+
+    ``checkpoint`` (default: when the pre-run is reused, v4-v7) writes the
+    per-(household, brand) table C3 to the cluster's checkpoint folder before
+    it feeds both the correction factors and the main run. Without it both
+    branches would rescan and re-aggregate the purchases: the two branches
+    need different columns of C3, so Spark cannot share one shuffle between
+    them. The table is small next to the purchases (at most one row per
+    household and bucket), and the cut also bounds the lineage replayed after
+    an executor loss. v1-v3 re-aggregate the raw rows in the main run by
+    design, so there is nothing to share.
+    """
+    if checkpoint is None:
+        checkpoint = variant.reuse_pre_run
     classified = classify(
         purchases,
         brand_map,
@@ -89,8 +103,7 @@ def allocated_spend(
             raise ValueError("households are required unless the purchases are pre-weighted")
         cs = continuous_sample(spend, households)
     if checkpoint:
-        # C3 feeds both the pre-run (C4) and the main run (C6): cut the lineage here,
-        # in the cluster's checkpoint folder.
+        scratch_root(cs.sparkSession)  # the session's checkpoint folder (own one only if unset)
         cs = cs.checkpoint(eager=True)
     factors = correction_factors(cs)
     if variant.reuse_pre_run:
@@ -112,7 +125,7 @@ def gain_loss(
     *,
     variant: str | Variant = "v6",
     digits: int = 2,
-    checkpoint: bool = False,
+    checkpoint: bool | None = None,
 ) -> DataFrame:
     """Brand-by-brand gains and losses: ``B1, B2, total_gains_b1_to_b2, total_losses_b1_to_b2``.
 

@@ -8,6 +8,8 @@ every task.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,26 +69,41 @@ def read_brand_map(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(BRAND_MAP).parquet(path)
 
 
+_PROFILES: "weakref.WeakKeyDictionary[DataFrame, tuple[int, list[str]]]" = weakref.WeakKeyDictionary()
+
+
+def map_profile(
+    brand_map: DataFrame, max_rows: int = MAX_BROADCAST_MAP_ROWS, max_buckets: int = MAX_BUCKETS
+) -> tuple[int, list[str]]:
+    """(row count, sorted bucket names incl. REST) of a brand map, in one small job.
+
+    At most ``max_rows + 1`` map rows are read, so the check itself is bounded;
+    the result is remembered per DataFrame object.
+    """
+    if brand_map in _PROFILES:
+        return _PROFILES[brand_map]
+    counts = (
+        brand_map.select("aggregation").limit(max_rows + 1).groupBy("aggregation").count().collect()
+    )
+    n = sum(r[1] for r in counts)
+    if n > max_rows:
+        raise ValueError(f"brand map has more than {max_rows} rows; refusing to broadcast it")
+    names = {r[0] for r in counts if r[0] is not None} | {REST_BUCKET}
+    if len(names) > max_buckets:
+        raise ValueError(f"brand map has more than {max_buckets} buckets")
+    _PROFILES[brand_map] = (n, sorted(names))
+    return _PROFILES[brand_map]
+
+
 def checked_map(brand_map: DataFrame, max_rows: int = MAX_BROADCAST_MAP_ROWS) -> DataFrame:
     """Broadcast-hinted brand map, after proving it is small."""
-    n = brand_map.count()
-    if n > max_rows:
-        raise ValueError(f"brand map has {n} rows, more than {max_rows}; refusing to broadcast it")
+    map_profile(brand_map, max_rows)
     return F.broadcast(brand_map.select("brand", "aggregation"))
 
 
 def bucket_names(brand_map: DataFrame, max_buckets: int = MAX_BUCKETS) -> list[str]:
     """Sorted bucket names of a map, plus the catch-all bucket for unmapped brands."""
-    names = (
-        brand_map.select("aggregation")
-        .where(F.col("aggregation").isNotNull())
-        .distinct()
-        .limit(max_buckets + 1)
-        .collect()
-    )
-    if len(names) > max_buckets:
-        raise ValueError(f"brand map has more than {max_buckets} buckets")
-    return sorted({r[0] for r in names} | {REST_BUCKET})
+    return map_profile(brand_map, max_buckets=max_buckets)[1]
 
 
 def map_checks(brand_map: DataFrame) -> DataFrame:

@@ -84,7 +84,6 @@ def households(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def brand_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Brand map derived from the brands present in ``part``."""
-    n = F.substring_index(F.col("p_brand"), "#", -1).cast("int")
     return (
         table(spark, sf_dir, "part")
         .select(F.col("p_brand").alias("brand"))

@@ -1,0 +1,38 @@
+"""Tiny hand-made panels: purchases as 'household:brand:yyyyMMdd:value' strings."""
+
+from brandflow.functions import Periods
+from brandflow.plans import gain_loss
+from brandflow.sources import brand_map_from_rows, weighted_purchases
+from brandflow.sources.schemas import HOUSEHOLDS, RAW_PURCHASES
+
+PERIODS = Periods.years(1996, 1997)
+AB_MAP = [("A", "A"), ("B", "B")]
+
+
+def _num(x):
+    return None if x in ("NULL", None) else float(x)
+
+
+def purchases_df(spark, specs, weights=(1.0, 1.0, 1.0, 1.0)):
+    rows = []
+    for i, spec in enumerate(specs):
+        hh, brand, datep, value = spec.split(":")
+        rows.append(
+            (int(hh), i, None if brand == "NULL" else brand, None if datep == "NULL" else datep, _num(value), *weights)
+        )
+    return spark.createDataFrame(rows, RAW_PURCHASES)
+
+
+def households_df(spark, specs):
+    rows = [(int(h), _num(c)) for h, c in (s.split(":") for s in specs)]
+    return spark.createDataFrame(rows, HOUSEHOLDS)
+
+
+def run(spark, variant, purchases, households, brand_map=AB_MAP, periods=PERIODS):
+    p = purchases_df(spark, purchases)
+    hh = households_df(spark, households)
+    bm = brand_map_from_rows(spark, brand_map)
+    if variant == "v7":
+        p, hh = weighted_purchases(p, hh), None
+    out = gain_loss(p, hh, bm, periods, variant=variant).collect()
+    return {(r[0], r[1]): (r[2], r[3]) for r in out}
