@@ -4,10 +4,11 @@ Layout: Parquet partitioned by ``datep`` (one directory per day), rows sorted
 by ``hhkey, brand`` inside each file, so a period filter prunes whole
 directories and row-group statistics on ``hhkey`` stay tight.
 
-The rows are range-partitioned on ``(datep, hhkey)`` before the write: each
-task writes a contiguous slice of days, and a day that holds a large share of
-all rows is split over several tasks by the sampled range bounds instead of
-landing in one task.
+Before the write the rows are rebalanced by ``datep`` (Spark's REBALANCE
+hint): rows of one day meet in one task, so a day is written as few files,
+and adaptive execution splits a day that holds a large share of all rows over
+several tasks (and merges small days) from the shuffle statistics. Unlike a
+range repartition this needs no sampling pass over the whole input.
 """
 
 from __future__ import annotations
@@ -43,9 +44,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def _write_partitioned(df: DataFrame, path: str, mode: str, num_partitions: int | None) -> None:
-    parts = (num_partitions,) if num_partitions else ()
+    hint = ("rebalance", num_partitions, "datep") if num_partitions else ("rebalance", "datep")
     (
-        df.repartitionByRange(*parts, "datep", "hhkey")
+        df.hint(*hint)
         .sortWithinPartitions("datep", "hhkey", "brand")
         .write.mode(mode)
         .partitionBy("datep")
