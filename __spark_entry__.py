@@ -13,6 +13,7 @@ as the analysis defines it.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,11 +76,11 @@ def _store(spark: SparkSession, sf_dir: str, kind: str) -> str:
     if key not in _STORES:
         p, hh, _, _ = _panel(spark, sf_dir, string_dates=True)
         path = scratch_path(spark, f"{kind}-store")
+        table = f"brandflow_{kind}_store_{os.path.basename(path).rsplit('-', 1)[1][:12]}"
         if kind == "purchase":
-            write_purchase_store(p, path)
+            _STORES[key] = write_purchase_store(p, path, table=table)
         else:
-            write_weighted_store(p, hh, path)
-        _STORES[key] = path
+            _STORES[key] = write_weighted_store(p, hh, path, table=table)
     return _STORES[key]
 
 

@@ -43,15 +43,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(scratch_root(spark), "brandflow", f"{name}-{uuid.uuid4().hex}")
 
 
-def _write_partitioned(df: DataFrame, path: str, mode: str, num_partitions: int | None) -> None:
+def _write_partitioned(
+    df: DataFrame, path: str, mode: str, num_partitions: int | None, table: str | None = None
+) -> None:
     hint = ("rebalance", num_partitions, "datep") if num_partitions else ("rebalance", "datep")
-    (
+    writer = (
         df.hint(*hint)
         .sortWithinPartitions("datep", "hhkey", "brand")
         .write.mode(mode)
         .partitionBy("datep")
-        .parquet(path)
     )
+    if table:
+        # External table in the session catalog: its partitions are registered,
+        # so a period filter prunes days in the catalog before any listing.
+        writer.option("path", path).saveAsTable(table)
+    else:
+        writer.parquet(path)
+
+
+def _is_path(location: str) -> bool:
+    return os.sep in location or "://" in location
+
+
+def _read_store(spark: SparkSession, location: str, schema=None) -> DataFrame:
+    if not _is_path(location):
+        return spark.table(location)
+    reader = spark.read.option("basePath", location)
+    return (reader.schema(schema) if schema is not None else reader).parquet(location)
 
 
 def _typed_dates(purchases: DataFrame) -> DataFrame:
@@ -61,15 +79,25 @@ def _typed_dates(purchases: DataFrame) -> DataFrame:
 
 
 def write_purchase_store(
-    purchases: DataFrame, path: str, *, mode: str = "errorifexists", num_partitions: int | None = None
+    purchases: DataFrame,
+    path: str,
+    *,
+    table: str | None = None,
+    mode: str = "errorifexists",
+    num_partitions: int | None = None,
 ) -> str:
-    """Every purchase column, ``datep`` parsed to DATE (a malformed date raises)."""
-    _write_partitioned(_typed_dates(purchases), path, mode, num_partitions)
-    return path
+    """Every purchase column, ``datep`` parsed to DATE (a malformed date raises).
+
+    Returns ``table`` when given (the store is then also registered in the
+    session catalog), else ``path``; either can be passed to the reader.
+    """
+    _write_partitioned(_typed_dates(purchases), path, mode, num_partitions, table)
+    return table or path
 
 
-def read_purchase_store(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("basePath", path).parquet(path)
+def read_purchase_store(spark: SparkSession, location: str) -> DataFrame:
+    """Open a purchase store by catalog table name or by path."""
+    return _read_store(spark, location)
 
 
 def weighted_purchases(purchases: DataFrame, households: DataFrame) -> DataFrame:
@@ -102,13 +130,15 @@ def write_weighted_store(
     households: DataFrame,
     path: str,
     *,
+    table: str | None = None,
     mode: str = "errorifexists",
     num_partitions: int | None = None,
 ) -> str:
-    """C14: the pre-weighted store."""
-    _write_partitioned(weighted_purchases(purchases, households), path, mode, num_partitions)
-    return path
+    """C14: the pre-weighted store (returns ``table`` or ``path``, as C13)."""
+    _write_partitioned(weighted_purchases(purchases, households), path, mode, num_partitions, table)
+    return table or path
 
 
-def read_weighted_store(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(WEIGHTED_PURCHASES).option("basePath", path).parquet(path)
+def read_weighted_store(spark: SparkSession, location: str) -> DataFrame:
+    """Open a pre-weighted store by catalog table name or by path."""
+    return _read_store(spark, location, WEIGHTED_PURCHASES)
