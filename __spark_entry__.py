@@ -175,7 +175,9 @@ def q_purchase_store(spark, sf_dir):
 
 
 def q_weighted_store(spark, sf_dir):
-    return read_weighted_store(spark, _store(spark, sf_dir, "weighted"))
+    return read_weighted_store(spark, _store(spark, sf_dir, "weighted")).select(
+        "hhkey", "brand", "datep", "spent_cs", "spent_fs"
+    )
 
 
 def _variant_query(name: str) -> Callable[[SparkSession, str], DataFrame]:

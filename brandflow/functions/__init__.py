@@ -4,6 +4,7 @@ from .expr import (
     REST_BUCKET,
     Periods,
     ifnull0,
+    in_month_periods,
     in_period,
     in_periods,
     in_range,
@@ -18,6 +19,7 @@ __all__ = [
     "REST_BUCKET",
     "Periods",
     "ifnull0",
+    "in_month_periods",
     "in_period",
     "in_periods",
     "in_range",

@@ -76,6 +76,17 @@ def in_periods(d: Column | str, p: Periods) -> Column:
     return in_range(d, p.start_p1, p.end_p1) | in_range(d, p.start_p2, p.end_p2)
 
 
+def _month_start(d: dt.date) -> dt.date:
+    return d.replace(day=1)
+
+
+def in_month_periods(month: Column | str, p: Periods) -> Column:
+    """Month (first day) overlapping period 1 or 2: the partition predicate a date filter implies."""
+    return in_range(month, _month_start(p.start_p1), _month_start(p.end_p1)) | in_range(
+        month, _month_start(p.start_p2), _month_start(p.end_p2)
+    )
+
+
 def period_of(d: Column | str, p: Periods, *, filtered: bool) -> Column:
     """Period number of a date.
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import REST_BUCKET, Periods, in_periods, parse_yyyymmdd, period_of
+from ..functions import REST_BUCKET, Periods, in_month_periods, in_periods, parse_yyyymmdd, period_of
 from ..sources.brand_map import checked_map
+from ..sources.stores import MONTH
 
 
 def classify(
@@ -42,7 +43,12 @@ def classify(
     p = purchases.alias("p")
     datep = parse_yyyymmdd(F.col("p.datep")) if parse_dates else F.col("p.datep")
     if date_filter:
-        p = p.where(in_periods(datep, periods))
+        cond = in_periods(datep, periods)
+        if MONTH in purchases.columns:
+            # a month-partitioned store: add the month predicate the date filter
+            # implies, so whole month directories are pruned
+            cond = in_month_periods(F.col(f"p.{MONTH}"), periods) & cond
+        p = p.where(cond)
     ba = checked_map(brand_map).alias("ba")
     joined = p.join(ba, F.col("p.brand") == F.col("ba.brand"), "left")
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..sources.schemas import RAW_PURCHASES
-from ..sources.stores import _typed_dates, scratch_path, weighted_purchases
+from ..sources.stores import _typed_dates, scratch_path, weighted_purchases, with_partition_column
 
 
 def start_store_stream(
@@ -25,6 +25,7 @@ def start_store_stream(
     checkpoint_location: str | None = None,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    granularity: str = "month",
 ) -> StreamingQuery:
     """Stream raw purchase Parquet files from ``source_dir`` into a store.
 
@@ -38,9 +39,10 @@ def start_store_stream(
     rows = _typed_dates(reader.parquet(source_dir))
     if households is not None:
         rows = weighted_purchases(rows, households)
+    rows, part = with_partition_column(rows, granularity)
     writer = (
         rows.writeStream.format("parquet")
-        .partitionBy("datep")
+        .partitionBy(part)
         .option("checkpointLocation", checkpoint_location or scratch_path(spark, "store-stream"))
         .outputMode("append")
     )

@@ -22,12 +22,12 @@ def store(spark):
     return write_purchase_store(p, path, table="brandflow_plan_test_store")
 
 
-def test_store_scan_prunes_days_and_columns(spark, store):
+def test_store_scan_prunes_months_and_columns(spark, store):
     _, hh, bm, per = tpch.panel(spark, SF)
     df = gain_loss(read_purchase_store(spark, store), hh, bm, per, variant="v3")
     plan = df._jdf.queryExecution().sparkPlan().toString()
     scan = [line for line in plan.splitlines() if "FileScan parquet" in line and "store" in line][0]
-    assert "PartitionFilters: [" in scan and "datep" in scan.split("PartitionFilters: [")[1]
+    assert "PartitionFilters: [" in scan and "month" in scan.split("PartitionFilters: [")[1].split("]")[0]
     # only the columns the stage needs are read
     schema = scan.split("ReadSchema: ")[1]
     assert "occaskey" not in schema and "rwkorr" not in schema

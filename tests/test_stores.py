@@ -1,28 +1,48 @@
 """Stores: round trip, partition pruning, layout."""
 
-import datetime as dt
-
+import pytest
 from pyspark.sql import functions as F
 
-from brandflow.functions import in_periods
-from brandflow.sources import read_purchase_store, tpch
-from brandflow.sources.stores import scratch_path, write_purchase_store
+from brandflow.operators import classify
+from brandflow.sources import read_purchase_store, read_weighted_store, tpch
+from brandflow.sources.stores import scratch_path, write_purchase_store, write_weighted_store
 
 SF = "/root/testdata/sf0.001"
 
 
-def test_purchase_store_round_trip_and_pruning(spark):
+def _scan_line(df):
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    return [line for line in plan.splitlines() if "FileScan parquet" in line][0]
+
+
+@pytest.mark.parametrize("granularity,part", [("month", "month"), ("day", "datep")])
+def test_purchase_store_round_trip_and_pruning(spark, granularity, part):
     p = tpch.purchases(spark, SF, string_dates=True)
-    path = write_purchase_store(p, scratch_path(spark, "test-store"))
+    path = write_purchase_store(p, scratch_path(spark, f"test-store-{granularity}"), granularity=granularity)
     back = read_purchase_store(spark, path)
     assert dict(back.dtypes)["datep"] == "date"
     assert back.count() == p.count()
     want = p.withColumn("datep", F.to_date("datep", "yyyyMMdd"))
     cols = ["hhkey", "occaskey", "brand", "datep", "value", "brandfactor", "rwkorr", "rwstd", "fullmasW"]
     assert want.select(cols).exceptAll(back.select(cols)).count() == 0
-    q = back.where(in_periods("datep", tpch.ADAPTER_PERIODS)).select("hhkey")
-    plan = q._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "datep" in plan.split("PartitionFilters: [")[1].split("]")[0]
-    # one directory per day
-    days = back.select("datep").distinct().count()
-    assert days == back.where(F.col("datep") >= dt.date(1990, 1, 1)).select("datep").distinct().count()
+    # the date filter of the analysis prunes partition directories
+    _, _, bm, per = tpch.panel(spark, SF)
+    scan = _scan_line(classify(back, bm, per, date_filter=True))
+    pruned = scan.split("PartitionFilters: [")[1].split("]")[0]
+    assert part in pruned
+    if granularity == "month":
+        # files hold consecutive days: the day filter also reaches the Parquet reader
+        assert "datep" in scan.split("PushedFilters: [")[1].split("]")[0]
+        months = back.select("month").distinct().count()
+        assert months == back.select(F.trunc("datep", "month")).distinct().count()
+
+
+def test_weighted_store_keeps_totals(spark):
+    p, hh, _, _ = tpch.panel(spark, SF, string_dates=True)
+    path = write_weighted_store(p, hh, scratch_path(spark, "test-wstore"))
+    back = read_weighted_store(spark, path)
+    joined = p.join(hh, "hhkey")
+    want = joined.agg(F.sum(F.col("value") * F.col("brandfactor") * F.col("continuo"))).first()[0]
+    got = back.agg(F.sum("spent_cs")).first()[0]
+    assert abs(got - want) <= 1e-6 * abs(want)
+    assert back.count() == joined.count()
