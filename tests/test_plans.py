@@ -2,7 +2,7 @@
 
 import pytest
 
-from brandflow.operators import cseg_allocation_window, gain_loss_matrix
+from brandflow.operators import gain_loss_matrix
 from brandflow.plans import VARIANTS, allocated_spend, gain_loss
 from brandflow.sources import bucket_names, read_purchase_store, reference_brand_map, tpch
 from brandflow.sources.stores import scratch_path, write_purchase_store
