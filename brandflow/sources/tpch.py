@@ -41,8 +41,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def _ship_date() -> F.Column:
-    # l_shipdate is TIMESTAMP_NTZ, so the cast does not depend on the session time zone.
+def _ship_date(li: DataFrame) -> F.Column:
+    """``l_shipdate`` as a DATE that does not depend on the session time zone.
+
+    The column is read as TIMESTAMP_NTZ (a plain cast); a session that reads
+    it as a zoned TIMESTAMP gets the UTC calendar day from the epoch value.
+    """
+    kind = dict(li.dtypes)["l_shipdate"]
+    if kind == "timestamp":
+        return F.date_from_unix_date(F.floor(F.unix_micros("l_shipdate") / F.lit(86_400_000_000)).cast("int"))
     return F.col("l_shipdate").cast("date")
 
 
@@ -54,7 +61,7 @@ def purchases(spark: SparkSession, sf_dir: str, *, string_dates: bool = True) ->
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    d = _ship_date()
+    d = _ship_date(li)
     return (
         li.join(orders, li.l_orderkey == orders.o_orderkey)
         .join(part, li.l_partkey == part.p_partkey)
