@@ -7,6 +7,7 @@ from .brand_map import (
     bucket_names,
     checked_map,
     map_checks,
+    map_profile,
     read_brand_map,
     reference_brand_map,
     write_brand_map,
@@ -27,6 +28,7 @@ __all__ = [
     "bucket_names",
     "checked_map",
     "map_checks",
+    "map_profile",
     "read_brand_map",
     "read_purchase_store",
     "read_weighted_store",
