@@ -1,6 +1,7 @@
 """Inputs and stores: schemas, brand map, TPC-H-derived panel, partitioned stores."""
 
 from . import tpch
+from .raw import read_households, read_purchases
 from .brand_map import (
     REFERENCE_BRAND_MAP,
     brand_map_from_rows,
@@ -30,6 +31,8 @@ __all__ = [
     "map_checks",
     "map_profile",
     "read_brand_map",
+    "read_households",
+    "read_purchases",
     "read_purchase_store",
     "read_weighted_store",
     "reference_brand_map",
