@@ -41,6 +41,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def _spread(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread an input that the scan cannot split over the cluster's cores.
+
+    A Parquet file with one row group is read by one task whatever its size,
+    and everything before the first shuffle (joins, date handling, partial
+    aggregation) would then run in that task. A large input has at least as
+    many scan partitions as the session has cores and is left as it is.
+    """
+    n = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < n:
+        return df.repartition(n, key)
+    return df
+
+
 def _ship_date(li: DataFrame) -> F.Column:
     """``l_shipdate`` as a DATE that does not depend on the session time zone.
 
@@ -59,6 +73,7 @@ def purchases(spark: SparkSession, sf_dir: str, *, string_dates: bool = True) ->
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_shipdate",
     )
+    li = _spread(spark, li, "l_orderkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     d = _ship_date(li)
