@@ -1,9 +1,8 @@
 """The brand map: which purchase brands roll up into which analysis bucket.
 
-The map is a small dimension table. Every use of it is guarded by a row-count
-check before it is broadcast or before its bucket names are read on the
-driver, so a map that is not small fails loudly instead of being shipped to
-every task.
+The map is a small dimension table. It is broadcast only after a row count
+proves it small (otherwise it is joined like any other table), and its bucket
+names reach the driver only as a bounded list.
 """
 
 from __future__ import annotations
@@ -72,38 +71,38 @@ def read_brand_map(spark: SparkSession, path: str) -> DataFrame:
 _PROFILES: "weakref.WeakKeyDictionary[DataFrame, tuple[int, list[str]]]" = weakref.WeakKeyDictionary()
 
 
-def map_profile(
-    brand_map: DataFrame, max_rows: int = MAX_BROADCAST_MAP_ROWS, max_buckets: int = MAX_BUCKETS
-) -> tuple[int, list[str]]:
+def map_profile(brand_map: DataFrame, max_buckets: int = MAX_BUCKETS) -> tuple[int, list[str]]:
     """(row count, sorted bucket names incl. REST) of a brand map, in one small job.
 
-    At most ``max_rows + 1`` map rows are read, so the check itself is bounded;
-    the result is remembered per DataFrame object.
+    The map is aggregated per bucket on the cluster and at most
+    ``max_buckets + 1`` bucket rows reach the driver; more buckets than that
+    raise, since the matrix stage is planned with one set of columns per
+    bucket. The result is remembered per DataFrame object.
     """
     if brand_map in _PROFILES:
         return _PROFILES[brand_map]
-    counts = (
-        brand_map.select("aggregation").limit(max_rows + 1).groupBy("aggregation").count().collect()
-    )
-    n = sum(r[1] for r in counts)
-    if n > max_rows:
-        raise ValueError(f"brand map has more than {max_rows} rows; refusing to broadcast it")
+    counts = brand_map.groupBy("aggregation").count().limit(max_buckets + 2).collect()
     names = {r[0] for r in counts if r[0] is not None} | {REST_BUCKET}
     if len(names) > max_buckets:
         raise ValueError(f"brand map has more than {max_buckets} buckets")
-    _PROFILES[brand_map] = (n, sorted(names))
+    _PROFILES[brand_map] = (sum(r[1] for r in counts), sorted(names))
     return _PROFILES[brand_map]
 
 
 def checked_map(brand_map: DataFrame, max_rows: int = MAX_BROADCAST_MAP_ROWS) -> DataFrame:
-    """Broadcast-hinted brand map, after proving it is small."""
-    map_profile(brand_map, max_rows)
-    return F.broadcast(brand_map.select("brand", "aggregation"))
+    """The brand map, broadcast-hinted when its row count is proven small.
+
+    Beyond ``max_rows`` no hint is given and the planner joins it like any
+    other table (sort-merge, or a broadcast AQE picks from runtime sizes).
+    """
+    n, _ = map_profile(brand_map)
+    m = brand_map.select("brand", "aggregation")
+    return F.broadcast(m) if n <= max_rows else m
 
 
 def bucket_names(brand_map: DataFrame, max_buckets: int = MAX_BUCKETS) -> list[str]:
     """Sorted bucket names of a map, plus the catch-all bucket for unmapped brands."""
-    return map_profile(brand_map, max_buckets=max_buckets)[1]
+    return map_profile(brand_map, max_buckets)[1]
 
 
 def map_checks(brand_map: DataFrame) -> DataFrame:

@@ -27,7 +27,8 @@ def test_panel_checks_count_each_condition(spark):
 def test_brand_map_guard(spark):
     bm = brand_map_from_rows(spark, [(f"b{i}", f"g{i % 3}") for i in range(10)])
     assert map_profile(bm) == (10, ["REST", "g0", "g1", "g2"])
-    with pytest.raises(ValueError, match="refusing to broadcast"):
-        checked_map(brand_map_from_rows(spark, [(f"b{i}", "g") for i in range(10)]), max_rows=5)
+    big = brand_map_from_rows(spark, [(f"b{i}", "g") for i in range(10)])
+    assert "ResolvedHint" not in checked_map(big, max_rows=5)._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" in checked_map(big, max_rows=50)._jdf.queryExecution().analyzed().toString().lower()
     with pytest.raises(ValueError, match="buckets"):
         map_profile(brand_map_from_rows(spark, [(f"b{i}", f"g{i}") for i in range(10)]), max_buckets=4)
