@@ -34,7 +34,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ratio_or_zero
@@ -43,54 +43,51 @@ BLOCK_SIZE = 64
 
 
 def _block_cells(base: DataFrame, block: list[str], offset: int) -> DataFrame:
-    w = Window.partitionBy("hhkey")
+    # Per-bucket columns are written as SQL expressions over the integer bucket
+    # index (one driver call per column; bucket names never enter SQL text).
+    over = "OVER (PARTITION BY hhkey)"
     vec = []
     for j in range(len(block)):
-        is_b = F.col("bucket_idx") == F.lit(offset + j)
+        is_b = f"bucket_idx = {offset + j}"
         vec += [
-            F.sum(F.when(is_b, F.col("cseg_p1"))).over(w).alias(f"x{j}"),
-            F.sum(F.when(is_b, F.col("f_p2"))).over(w).alias(f"y{j}"),
-            F.count(F.when(is_b, F.lit(1))).over(w).alias(f"n{j}"),
+            f"sum(CASE WHEN {is_b} THEN cseg_p1 END) {over} AS x{j}",
+            f"sum(CASE WHEN {is_b} THEN f_p2 END) {over} AS y{j}",
+            f"count(CASE WHEN {is_b} THEN 1 END) {over} AS n{j}",
         ]
-    rows = base.select("brand", "cseg_p1", "f_p2", *vec)
+    rows = base.selectExpr("brand", "cseg_p1", "f_p2", *vec)
     aggs = []
     for j in range(len(block)):
-        aggs += [
-            F.sum(F.col(f"x{j}") * F.col("f_p2")).alias(f"g{j}"),
-            F.sum(F.col("cseg_p1") * F.col(f"y{j}")).alias(f"l{j}"),
-            F.sum(f"n{j}").alias(f"c{j}"),
-        ]
-    sums = rows.groupBy("brand").agg(*aggs)
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(b).alias("B2"),
-                F.col(f"g{j}").alias("gains"),
-                F.col(f"l{j}").alias("losses"),
-                F.col(f"c{j}").alias("n_households"),
-            )
-            for j, b in enumerate(block)
-        ]
+        aggs += [f"sum(x{j} * f_p2) AS g{j}", f"sum(cseg_p1 * y{j}) AS l{j}", f"sum(n{j}) AS c{j}"]
+    sums = rows.groupBy("brand").agg(*[F.expr(a) for a in aggs])
+    cells = ", ".join(
+        f"struct({offset + j} AS b2_idx, g{j} AS gains, l{j} AS losses, c{j} AS n_households)"
+        for j in range(len(block))
     )
-    return sums.select(F.col("brand").alias("B1"), F.inline(cells))
+    return sums.selectExpr("brand AS B1", f"inline(array({cells}))")
 
 
 def flow_sums(allocated: DataFrame, buckets: list[str], *, block_size: int = BLOCK_SIZE) -> DataFrame:
     """Unrounded ``B1, B2, gains, losses, n_households`` for every existing cell."""
     buckets = list(buckets)
-    index = F.array_position(F.array(*[F.lit(b) for b in buckets]), F.col("brand")) - F.lit(1)
+    names = F.array(*[F.lit(b) for b in buckets])
     base = allocated.select(
         "hhkey",
         "brand",
         "cseg_p1",
         ratio_or_zero("cseg_p2", "cseg").alias("f_p2"),
-        index.alias("bucket_idx"),
+        (F.array_position(names, F.col("brand")) - F.lit(1)).alias("bucket_idx"),
     )
     parts = [
         _block_cells(base, buckets[s : s + block_size], s) for s in range(0, len(buckets), block_size)
     ]
     cells = reduce(DataFrame.unionByName, parts)
-    return cells.where(F.col("n_households") > 0)
+    return cells.where(F.col("n_households") > 0).select(
+        "B1",
+        F.element_at(names, F.col("b2_idx") + F.lit(1)).alias("B2"),
+        "gains",
+        "losses",
+        "n_households",
+    )
 
 
 def gain_loss_matrix(
