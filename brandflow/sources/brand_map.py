@@ -8,13 +8,18 @@ names reach the driver only as a bounded list.
 from __future__ import annotations
 
 import weakref
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import REST_BUCKET
 from .schemas import BRAND_MAP
 
+# Same columns as BRAND_MAP, nullable, for the local copy of a map as it was read.
+_LOCAL_SCHEMA = T.StructType([T.StructField(f.name, f.dataType) for f in BRAND_MAP.fields])
+
 # Largest brand map that is broadcast to every task.
 MAX_BROADCAST_MAP_ROWS = 1_000_000
 # Largest number of buckets the matrix stage accepts (one window column per bucket
@@ -68,24 +73,44 @@ def read_brand_map(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(BRAND_MAP).parquet(path)
 
 
-_PROFILES: "weakref.WeakKeyDictionary[DataFrame, tuple[int, list[str]]]" = weakref.WeakKeyDictionary()
+# A map with at most this many rows is read once and planned as a local relation.
+LOCAL_MAP_ROWS = 100_000
+
+
+class MapProfile(NamedTuple):
+    n_rows: int
+    buckets: list[str]  # sorted, REST included
+    local: DataFrame | None  # the map as a local relation, when it is small
 
 
-def map_profile(brand_map: DataFrame, max_buckets: int = MAX_BUCKETS) -> tuple[int, list[str]]:
-    """(row count, sorted bucket names incl. REST) of a brand map, in one small job.
+_PROFILES: "weakref.WeakKeyDictionary[DataFrame, MapProfile]" = weakref.WeakKeyDictionary()
 
-    The map is aggregated per bucket on the cluster and at most
-    ``max_buckets + 1`` bucket rows reach the driver; more buckets than that
-    raise, since the matrix stage is planned with one set of columns per
-    bucket. The result is remembered per DataFrame object.
+
+def map_profile(brand_map: DataFrame, max_buckets: int = MAX_BUCKETS) -> MapProfile:
+    """Row count, bucket names and (when small) a local copy of a brand map, in one small job.
+
+    At most ``LOCAL_MAP_ROWS + 1`` rows are read to the driver. A small map is
+    kept as a local relation, so later plans neither rescan nor recompute it
+    (a broadcast would ship it through the driver anyway). A larger one is
+    aggregated per bucket on the cluster and only the bucket rows come back.
+    More than ``max_buckets`` buckets raise: the matrix stage is planned with
+    one set of columns per bucket. The result is remembered per DataFrame.
     """
     if brand_map in _PROFILES:
         return _PROFILES[brand_map]
-    counts = brand_map.groupBy("aggregation").count().limit(max_buckets + 2).collect()
-    names = {r[0] for r in counts if r[0] is not None} | {REST_BUCKET}
+    m = brand_map.select("brand", "aggregation")
+    rows = m.limit(LOCAL_MAP_ROWS + 1).collect()
+    if len(rows) <= LOCAL_MAP_ROWS:
+        n, names = len(rows), {r[1] for r in rows if r[1] is not None}
+        local = brand_map.sparkSession.createDataFrame(rows, _LOCAL_SCHEMA)
+    else:
+        counts = m.groupBy("aggregation").count().limit(max_buckets + 2).collect()
+        n, names = sum(r[1] for r in counts), {r[0] for r in counts if r[0] is not None}
+        local = None
+    names.add(REST_BUCKET)
     if len(names) > max_buckets:
         raise ValueError(f"brand map has more than {max_buckets} buckets")
-    _PROFILES[brand_map] = (sum(r[1] for r in counts), sorted(names))
+    _PROFILES[brand_map] = MapProfile(n, sorted(names), local)
     return _PROFILES[brand_map]
 
 
@@ -95,14 +120,16 @@ def checked_map(brand_map: DataFrame, max_rows: int = MAX_BROADCAST_MAP_ROWS) ->
     Beyond ``max_rows`` no hint is given and the planner joins it like any
     other table (sort-merge, or a broadcast AQE picks from runtime sizes).
     """
-    n, _ = map_profile(brand_map)
+    prof = map_profile(brand_map)
+    if prof.local is not None and prof.n_rows <= max_rows:
+        return F.broadcast(prof.local)
     m = brand_map.select("brand", "aggregation")
-    return F.broadcast(m) if n <= max_rows else m
+    return F.broadcast(m) if prof.n_rows <= max_rows else m
 
 
 def bucket_names(brand_map: DataFrame, max_buckets: int = MAX_BUCKETS) -> list[str]:
     """Sorted bucket names of a map, plus the catch-all bucket for unmapped brands."""
-    return map_profile(brand_map, max_buckets)[1]
+    return map_profile(brand_map, max_buckets).buckets
 
 
 def map_checks(brand_map: DataFrame) -> DataFrame:

@@ -26,7 +26,9 @@ def test_panel_checks_count_each_condition(spark):
 
 def test_brand_map_guard(spark):
     bm = brand_map_from_rows(spark, [(f"b{i}", f"g{i % 3}") for i in range(10)])
-    assert map_profile(bm) == (10, ["REST", "g0", "g1", "g2"])
+    prof = map_profile(bm)
+    assert (prof.n_rows, prof.buckets) == (10, ["REST", "g0", "g1", "g2"])
+    assert sorted(prof.local.collect()) == sorted(bm.collect())
     big = brand_map_from_rows(spark, [(f"b{i}", "g") for i in range(10)])
     assert "ResolvedHint" not in checked_map(big, max_rows=5)._jdf.queryExecution().analyzed().toString()
     assert "broadcast" in checked_map(big, max_rows=50)._jdf.queryExecution().analyzed().toString().lower()
