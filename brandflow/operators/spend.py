@@ -70,15 +70,18 @@ def household_weights(households: DataFrame) -> DataFrame:
     )
 
 
-def continuous_sample(spend: DataFrame, households: DataFrame) -> DataFrame:
+def continuous_sample(spend: DataFrame, households: DataFrame, *, by_household: bool = False) -> DataFrame:
     """Apply the household weight; households missing from the table drop out.
 
     Output: ``hhkey, brand, spent_p1_cs, spent_p2_cs, spent_p1_fs, spent_p2_fs``
     plus ``spent_p1_ics, spent_p2_ics, n_active`` for the zero-spend filter of C6.
     The full-sample values count once per household copy.
+
+    ``by_household=True`` makes the join a shuffle join on ``hhkey``, so the
+    output is hash-partitioned by household (for a write bucketed by it).
     """
     hh = household_weights(households)
-    j = spend.join(hh, "hhkey")
+    j = spend.join(hh.hint("merge") if by_household else hh, "hhkey")
     return j.select(
         "hhkey",
         "brand",

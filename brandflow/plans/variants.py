@@ -41,7 +41,7 @@ from ..operators import (
     spend_by_household_brand,
 )
 from ..sources.brand_map import bucket_names
-from ..sources.stores import scratch_root
+from ..sources.stores import materialize_by_household, scratch_root
 
 
 @dataclass(frozen=True)
@@ -72,22 +72,31 @@ def allocated_spend(
     periods: Periods,
     variant: Variant,
     *,
-    checkpoint: bool | None = None,
+    materialize: str | None = None,
 ) -> DataFrame:
     """Everything up to C8/C9: ``hhkey, brand, spent_p1, spent_p2, cseg_p1, cseg_p2, cseg``.
 
-    ``checkpoint`` (default: when the pre-run is reused, v4-v7) writes the
-    per-(household, brand) table C3 to the cluster's checkpoint folder before
+    ``materialize`` (default for v4-v7, which reuse the pre-run) writes the
+    per-(household, brand) table C3 into the cluster's checkpoint folder before
     it feeds both the correction factors and the main run. Without it both
-    branches would rescan and re-aggregate the purchases: the two branches
-    need different columns of C3, so Spark cannot share one shuffle between
-    them. The table is small next to the purchases (at most one row per
-    household and bucket), and the cut also bounds the lineage replayed after
-    an executor loss. v1-v3 re-aggregate the raw rows in the main run by
-    design, so there is nothing to share.
+    branches would rescan and re-aggregate the purchases: they need different
+    columns of C3, so Spark cannot share one shuffle between them. C3 is small
+    next to the purchases (at most one row per household and bucket), and the
+    cut also bounds the lineage replayed after an executor loss.
+
+    - ``"table"`` (default): a table bucketed by ``hhkey``; the household join
+      is then a shuffle join on ``hhkey``, the write adds no shuffle, and the
+      windows of C9 and C12 read the table without one.
+    - ``"checkpoint"``: ``Dataset.checkpoint()``; under AQE the result does not
+      keep its partitioning, so C3 is shuffled once more for the windows.
+    - ``"none"``: no cut (both branches recompute C3).
+
+    v1-v3 re-aggregate the raw rows in the main run by design; they default to "none".
     """
-    if checkpoint is None:
-        checkpoint = variant.reuse_pre_run
+    if materialize is None:
+        materialize = "table" if variant.reuse_pre_run else "none"
+    if materialize not in ("table", "checkpoint", "none"):
+        raise ValueError("materialize must be 'table', 'checkpoint' or 'none'")
     classified = classify(
         purchases,
         brand_map,
@@ -101,8 +110,10 @@ def allocated_spend(
     else:
         if households is None:
             raise ValueError("households are required unless the purchases are pre-weighted")
-        cs = continuous_sample(spend, households)
-    if checkpoint:
+        cs = continuous_sample(spend, households, by_household=materialize == "table")
+    if materialize == "table":
+        cs = materialize_by_household(cs, "c3", partitioned=households is not None)
+    elif materialize == "checkpoint":
         scratch_root(cs.sparkSession)  # the session's checkpoint folder (own one only if unset)
         cs = cs.checkpoint(eager=True)
     factors = correction_factors(cs)
@@ -125,7 +136,7 @@ def gain_loss(
     *,
     variant: str | Variant = "v6",
     digits: int = 2,
-    checkpoint: bool | None = None,
+    materialize: str | None = None,
 ) -> DataFrame:
     """Brand-by-brand gains and losses: ``B1, B2, total_gains_b1_to_b2, total_losses_b1_to_b2``.
 
@@ -133,5 +144,5 @@ def gain_loss(
     ``datep``) for v1-v6, pre-weighted rows for v7 (then ``households`` may be None).
     """
     v = VARIANTS[variant] if isinstance(variant, str) else variant
-    allocated = allocated_spend(purchases, households, brand_map, periods, v, checkpoint=checkpoint)
+    allocated = allocated_spend(purchases, households, brand_map, periods, v, materialize=materialize)
     return gain_loss_matrix(allocated, bucket_names(brand_map), digits=digits)

@@ -170,3 +170,34 @@ def write_weighted_store(
 def read_weighted_store(spark: SparkSession, location: str) -> DataFrame:
     """Open a pre-weighted store by catalog table name or by path."""
     return _read_store(spark, location)
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    """The partition count of the session's shuffles (AQE's initial count when set)."""
+    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return int(initial or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def materialize_by_household(df: DataFrame, name: str, *, partitioned: bool = False) -> DataFrame:
+    """Write ``df`` as a table bucketed by ``hhkey`` in the checkpoint folder; read it back.
+
+    This cuts the lineage like ``checkpoint()``, and the bucketed scan reports
+    ``hashpartitioning(hhkey)``, so windows and joins on the household read it
+    without another shuffle. The bucket count is the session's shuffle
+    partition count: when ``df`` comes out of a shuffle on ``hhkey``
+    (``partitioned=True``), every task holds whole buckets and the write adds
+    neither a shuffle nor more than one file per bucket and task. Otherwise
+    the rows are shuffled by ``hhkey`` first, so a task does not write a file
+    for every bucket.
+    """
+    spark = df.sparkSession
+    n = shuffle_partitions(spark)
+    table = f"brandflow_{name}_{uuid.uuid4().hex[:12]}"
+    if not partitioned:
+        df = df.repartition(n, "hhkey")
+    (
+        df.write.bucketBy(n, "hhkey")
+        .option("path", scratch_path(spark, name))
+        .saveAsTable(table)
+    )
+    return spark.table(table)
