@@ -14,6 +14,7 @@ from .brand_map import (
     write_brand_map,
 )
 from .stores import (
+    drop_scratch_tables,
     read_purchase_store,
     read_weighted_store,
     scratch_path,
@@ -28,6 +29,7 @@ __all__ = [
     "brand_map_from_rows",
     "bucket_names",
     "checked_map",
+    "drop_scratch_tables",
     "map_checks",
     "map_profile",
     "read_brand_map",

@@ -201,3 +201,13 @@ def materialize_by_household(df: DataFrame, name: str, *, partitioned: bool = Fa
         .saveAsTable(table)
     )
     return spark.table(table)
+
+
+def drop_scratch_tables(spark: SparkSession, prefix: str = "brandflow_c3_") -> int:
+    """Drop the catalog entries of materialized C3 tables (their files stay in the
+    checkpoint folder and go with it). Only needed with a persistent metastore;
+    the default in-memory catalog forgets them when the session ends."""
+    names = [t.name for t in spark.catalog.listTables() if t.name.startswith(prefix) and not t.isTemporary]
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+    return len(names)

@@ -73,3 +73,12 @@ def test_reference_brand_map(spark):
     names = bucket_names(m)
     assert len(names) == 22 and "REST" in names and "FACHHANDEL" in names
     assert [f.nullable for f in m.schema.fields] == [False, False]
+
+
+def test_scratch_tables_can_be_dropped(spark):
+    from brandflow.sources import drop_scratch_tables
+
+    p, hh, bm, per = tpch.panel(spark, SF, string_dates=False)
+    gain_loss(p, hh, bm, per, variant="v6").collect()
+    assert drop_scratch_tables(spark) >= 1
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("brandflow_c3_")]
