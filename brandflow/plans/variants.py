@@ -105,14 +105,16 @@ def allocated_spend(
         fold_brandfactor=variant.fold_brandfactor,
     )
     spend = spend_by_household_brand(classified, two_level=variant.two_level)
-    if "spent_p1_cs" in spend.columns:  # pre-weighted input: the household weight is in already
+    weighted = "spent_p1_cs" in spend.columns  # pre-weighted input: the household weight is in already
+    if weighted:
         cs = spend
     else:
         if households is None:
             raise ValueError("households are required unless the purchases are pre-weighted")
         cs = continuous_sample(spend, households, by_household=materialize == "table")
     if materialize == "table":
-        cs = materialize_by_household(cs, "c3", partitioned=households is not None)
+        # after the household join C3 is already hash-partitioned by hhkey
+        cs = materialize_by_household(cs, "c3", partitioned=not weighted)
     elif materialize == "checkpoint":
         scratch_root(cs.sparkSession)  # the session's checkpoint folder (own one only if unset)
         cs = cs.checkpoint(eager=True)

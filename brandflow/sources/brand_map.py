@@ -74,7 +74,7 @@ def read_brand_map(spark: SparkSession, path: str) -> DataFrame:
 
 
 # A map with at most this many rows is read once and planned as a local relation.
-LOCAL_MAP_ROWS = 100_000
+LOCAL_MAP_ROWS = 10_000
 
 
 class MapProfile(NamedTuple):
