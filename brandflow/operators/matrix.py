@@ -27,7 +27,9 @@ by a count), and is NULL only when all its terms are NULL, as with ``SUM``.
 Work per (household, bucket) row is linear in the number of buckets, the
 aggregation is partial map-side (at most one row per bucket per task), and
 only one row per bucket crosses the final shuffle. Buckets are processed in
-blocks so that the number of window columns per pass stays bounded.
+blocks so that the number of window columns per pass stays bounded; with more
+than one block the allocated rows are written once (bucketed by household)
+and every block reads them without a shuffle.
 """
 
 from __future__ import annotations
@@ -38,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ratio_or_zero
+from ..sources.stores import materialize_by_household
 
 BLOCK_SIZE = 64
 
@@ -69,18 +72,23 @@ def _block_cells(base: DataFrame, block: list[str], offset: int) -> DataFrame:
 def flow_sums(allocated: DataFrame, buckets: list[str], *, block_size: int = BLOCK_SIZE) -> DataFrame:
     """Unrounded ``B1, B2, gains, losses, n_households`` for every existing cell."""
     buckets = list(buckets)
-    names = F.array(*[F.lit(b) for b in buckets])
-    base = allocated.select(
+    spark = allocated.sparkSession
+    # bucket -> index: a hash lookup in a broadcast table of at most MAX_BUCKETS rows
+    index = spark.createDataFrame(list(enumerate(buckets)), "bucket_idx INT, brand STRING")
+    base = allocated.join(F.broadcast(index), "brand", "left").select(
         "hhkey",
         "brand",
         "cseg_p1",
         ratio_or_zero("cseg_p2", "cseg").alias("f_p2"),
-        (F.array_position(names, F.col("brand")) - F.lit(1)).alias("bucket_idx"),
+        F.coalesce(F.col("bucket_idx"), F.lit(-1)).alias("bucket_idx"),
     )
-    parts = [
-        _block_cells(base, buckets[s : s + block_size], s) for s in range(0, len(buckets), block_size)
-    ]
-    cells = reduce(DataFrame.unionByName, parts)
+    starts = range(0, len(buckets), block_size)
+    if len(starts) > 1:
+        # each block is one more pass over the rows: write them once, bucketed by
+        # household, instead of recomputing C6/C9 for every block
+        base = materialize_by_household(base, "c3_alloc")
+    cells = reduce(DataFrame.unionByName, [_block_cells(base, buckets[s : s + block_size], s) for s in starts])
+    names = F.array(*[F.lit(b) for b in buckets])
     return cells.where(F.col("n_households") > 0).select(
         "B1",
         F.element_at(names, F.col("b2_idx") + F.lit(1)).alias("B2"),
