@@ -82,3 +82,13 @@ def test_scratch_tables_can_be_dropped(spark):
     gain_loss(p, hh, bm, per, variant="v6").collect()
     assert drop_scratch_tables(spark) >= 1
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("brandflow_c3_")]
+
+
+def test_purchases_are_scanned_once_per_analysis(spark, store):
+    # the C3 job reads the store; the job after it reads only the C3 table
+    _, hh, bm, per = tpch.panel(spark, SF)
+    df = gain_loss(read_purchase_store(spark, store), hh, bm, per, variant="v6")
+    df.collect()
+    plan = _plan(df)
+    assert "brandflow_c3_" in plan
+    assert "brandflow_plan_test_store" not in plan
