@@ -92,3 +92,13 @@ def test_purchases_are_scanned_once_per_analysis(spark, store):
     plan = _plan(df)
     assert "brandflow_c3_" in plan
     assert "brandflow_plan_test_store" not in plan
+
+
+def test_pre_weighted_path_has_no_household_shuffle_after_c3(spark):
+    from brandflow.sources import weighted_purchases
+
+    p, hh, bm, per = tpch.panel(spark, SF, string_dates=False)
+    df = gain_loss(weighted_purchases(p, hh), None, bm, per, variant="v7")
+    df.collect()
+    plan = _plan(df)
+    assert "brandflow_c3_" in plan and plan.count("hashpartitioning(hhkey") == 0
