@@ -44,3 +44,10 @@ def clear_scratch(spark: SparkSession) -> None:
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, with underscores added until no column has it."""
+    while name.lower() in {c.lower() for c in columns}:
+        name += "_"
+    return name

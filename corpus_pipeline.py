@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brandflow.llm import language_ppm, near_fss
+from brandflow.llm import language_ppm, mixing, near_fss, pii, positional_index
 from brandflow.llm.scratch import written
 from brandflow.llm.shipping import ship_package
 
@@ -30,9 +30,29 @@ def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return near_fss.without_near_duplicates(docs, words=5, percent=80)
 
 
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no ten-word window of a benchmark item."""
+    return positional_index.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data in their texts replaced by its kind."""
+    ship_package(spark)
+    return pii.redact(docs, pii.fit_span_model(docs))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them: none, one or two rows each."""
+    ship_package(spark)
+    return mixing.mixed_documents(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("language_id", identified),
     ("near_dedup", deduplicated),
+    ("decontamination", decontaminated),
+    ("personal_data", redacted),
+    ("mixing", mixed),
 ]
 
 #: No SQL: the trained language model and the mixing weights are not SQL-expressible; tests hold run() against brute force.
