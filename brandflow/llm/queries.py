@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_ppm, mixing, near_fss, pii, positional_index
+from . import language_ppm, license_scan, mixing, near_fss, oph, page_text, pii, positional_index, toxicity, url_reputation
 from .shipping import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of a tree source/lang/number; one that begins with a licence holds for its directory."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    files = docs.select(F.col("doc_id").alias("file_id"), path.alias("path"), "text")
+    found = license_scan.licences(files, license_scan.fit_matcher(files), licence_file=F.col("line") == 0)
+    return found.withColumnRenamed("file_id", "doc_id")
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_fss.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
 
@@ -29,6 +38,26 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_ppm.identify_languages(rows, model)
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's outcome is the label of the document that its path ends in: bad if of low quality or toxic."""
+    pages, labels = table(spark, sf_dir, "pages").select("page_id", "url"), table(spark, sf_dir, "labels")
+    bad = labels.groupBy("doc_id").agg(F.max(F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0)).alias("bad"))
+    named = F.regexp_extract("path", r"/([0-9]{1,18})(?:[.]html)?/?$", 1)
+    outcomes = url_reputation.with_parts(pages.select("url")).select("url", F.when(named != "", named).cast("long").alias("doc_id")).join(bad, "doc_id")
+    return url_reputation.judged_urls(pages, outcomes).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return oph.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    rows = docs.withColumn("held_out", language_ppm.held_out(F.col("doc_id")))
+    return toxicity.score_toxicity(rows, model).withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = positional_index.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -46,16 +75,25 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(docs, pii.fit_span_model(docs))
 
 
+def op9_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.main_texts(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.balanced(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
 QUERIES: dict[str, Query] = {
+    "op1_url_filter": op1_url_filter,
+    "op2_fingerprints": op2_fingerprints,
+    "op3_toxicity": op3_toxicity,
     "op4_decontamination": op4_decontamination,
+    "op5_licenses": op5_licenses,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_language": op7_language,
     "op8_personal_data": op8_personal_data,
+    "op9_page_text": op9_page_text,
     "op10_mixing": op10_mixing,
 }
 
