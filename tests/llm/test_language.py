@@ -1,0 +1,88 @@
+import math
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
+
+from brandflow.llm import language_ppm
+from brandflow.llm.textbytes import utf8
+
+
+def test_held_out_accuracy(docs):
+    model = language_ppm.fit_language_model(docs)
+    rows = docs.select("doc_id", "text", F.col("lang").alias("true"), language_ppm.held_out(F.col("doc_id")).alias("held_out"))
+    got = language_ppm.identify_languages(rows, model).where("held_out").collect()
+    assert len(got) > 20
+    assert sum(r["true"] == r["lang_pred"] for r in got) / len(got) > 0.95
+    assert all(0 <= r["score"] <= 1 for r in got)
+
+
+def brute_bits(counts, text, order, symbol, width):
+    """Code length by walking the contexts of every symbol, longest first."""
+    others = 256 - (width - 2)
+    codes = [0, *(int(symbol[b]) for b in text)]
+    bits = 0.0
+    for i in range(1, len(codes)):
+        total = 0.0
+        for k in range(min(order, i), -1, -1):
+            seen = counts.get(tuple(codes[i - k : i]), {})
+            n = sum(seen.values())
+            if codes[i] in seen:
+                total -= math.log2(seen[codes[i]] / (n + len(seen)))
+                break
+            if n:
+                total -= math.log2(len(seen) / (n + len(seen)))
+        else:
+            total += 8 - (math.log2(others) if codes[i] == width - 1 else 0)
+        bits += total + (math.log2(others) if codes[i] == width - 1 else 0)
+    return bits
+
+
+def test_code_lengths_equal_a_plain_walk(spark):
+    train = [(k, t, lang) for k, (t, lang) in enumerate([("abracadabra abra", "x"), ("cadabra bracada", "x"), ("zyxw yxzw zzyx", "y"), ("wxyz wyxz", "y")] * 3)]
+    docs = spark.createDataFrame(train, "doc_id long, text string, lang string")
+    model = language_ppm.fit_language_model(docs, max_order=3)
+    used = docs.where(~language_ppm.held_out(F.col("doc_id"))).collect()
+    texts = ["abra", "zyx abra", "qqq", "a", "Ünï"]
+    data, off = utf8(pa.array(texts))
+    got = model.bits(data, off)
+    for j, lang in enumerate(model.langs):
+        counts = {}
+        for r in used:
+            if r["lang"] == lang:
+                codes = [0, *(int(model.symbol[b]) for b in r["text"].encode())]
+                for i in range(1, len(codes)):
+                    for k in range(min(3, i) + 1):
+                        c = counts.setdefault(tuple(codes[i - k : i]), {})
+                        c[codes[i]] = c.get(codes[i], 0) + 1
+        want = [brute_bits(counts, t.encode(), 3, model.symbol, model.symbol_count) for t in texts]
+        assert np.allclose(got[:, j], want, rtol=1e-5)
+
+
+def test_odd_rows(odd, docs):
+    model = language_ppm.fit_language_model(docs)
+    got = language_ppm.identify_languages(odd.select("doc_id", "text", "row", "_letter"), model).collect()
+    assert len(got) == odd.count()
+    for r in got:
+        assert r["row"] == "row" and r["_letter"] == "_letter"
+        if r["doc_id"] in (2, 3, 4):
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+    kept = language_ppm.keep_identified(odd, model)
+    assert kept.columns == odd.columns
+    assert {2, 3, 4}.isdisjoint({r["doc_id"] for r in kept.collect()})
+
+
+def test_nothing_to_learn_from(empty, odd):
+    assert language_ppm.fit_language_model(empty) is None
+    assert {r["lang_pred"] for r in language_ppm.identify_languages(odd.select("doc_id", "text"), None).collect()} == {"und"}
+    assert language_ppm.identify_languages(empty.select("doc_id", "text"), None).collect() == []
+
+
+def test_a_long_text_is_scored_in_pieces(spark):
+    docs = spark.createDataFrame([(k, "one two three four", "en") for k in range(8)], "doc_id long, text string, lang string")
+    model = language_ppm.fit_language_model(docs)
+    text = "one two three four " * 250_000  # more than two pieces
+    data, off = utf8(pa.array(["x", text, text[:19]]))
+    bits = model.bits(data, off)[:, 0]
+    one, two = (model.bits(*utf8(pa.array([text[: 19 * k]])))[0, 0] for k in (1, 2))
+    assert np.isclose(bits[2], one) and np.isclose(bits[1], one + 249_999 * (two - one), rtol=1e-6)
