@@ -12,8 +12,9 @@ of them at once. Each step is one aggregation over the documents.
 
 Rates are then rounded to whole copies with a dither from a hash of the row. A
 common shift of a source's dithers, refined like the multipliers by aggregation,
-takes the rounding error out of its total, down to the size of the document at
-the threshold. Everything derives from hashes: reruns agree.
+brings its total up to its target; what is missing still, less than a document,
+is filled with one more copy of documents that fit. Everything derives from
+hashes and exact sums: reruns agree.
 
 Defined results: null or empty texts have size 0; they take no part in the
 balance and one copy of them is kept. A null source is a source of its own. A
@@ -23,7 +24,7 @@ rounded alike. Sources are collected to the driver as one row each.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,11 @@ from .textbytes import blocks, utf8, word_starts
 
 #: Most copies of a document.
 MOST = 2
+#: Thresholds are found by cutting their bracket in so many, so many times.
+CUTS, ROUNDS = 16, 9
+TOP_UPS = 2
+#: Sums of real numbers are taken on this grid as whole numbers: their order can't change them.
+GRID = 1 << 20
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 
@@ -86,6 +92,10 @@ def _sums(rows: DataFrame, *sums: Column) -> dict[str | None, tuple]:
     return {r["source"]: r for r in rows.groupBy("source").agg(*sums).collect()}  # one row a source
 
 
+def _exact_sum(value: Column) -> Column:
+    return F.sum(F.round(value * float(GRID)).cast("decimal(38,0)"))
+
+
 def _rate(multiplier: Column, x: Column) -> Column:
     return F.lit(float(MOST)) / (F.lit(1.0) + F.lit(float(MOST - 1)) * F.exp(-multiplier * x))
 
@@ -110,7 +120,8 @@ def balanced(docs: DataFrame, tolerance: float = 1e-9, steps: int = 60) -> DataF
         if not multiplier:
             break
         r = _rate(_by_source(multiplier), x)
-        got = _sums(work.where(_by_source(multiplier).isNotNull()), F.sum(F.col("size") * r).alias("tokens"), F.sum(F.col("size") * x * r * (1 - r / MOST)).alias("slope"))
+        got = _sums(work.where(_by_source(multiplier).isNotNull()), _exact_sum(F.col("size") * r).alias("tokens"), _exact_sum(F.col("size") * x * r * (1 - r / MOST)).alias("slope"))
+        got = {s: {"tokens": int(g["tokens"]) / GRID, "slope": int(g["slope"]) / GRID} for s, g in got.items()}
         worst = 0.0
         for s, g in got.items():
             gap = g["tokens"] - targets[s]
@@ -131,33 +142,46 @@ def balanced(docs: DataFrame, tolerance: float = 1e-9, steps: int = 60) -> DataF
     )
     rated = sized.withColumn("rate", rate)
 
-    # copies: floor(rate + dither + shift); the shift of a source moves its total
-    dither = F.pmod(F.xxhash64("doc_id", "text_hash", F.lit("copies")), F.lit(1 << 40)) / float(1 << 40)
-    rated = written(rated.withColumn("dither", dither), "rates")
-    inside = rated.where((F.col("size") > 0) & (F.col("rate") > 0) & (F.col("rate") < MOST))
-    low, high = {s: -1.0 for s in multiplier}, {s: 1.0 for s in multiplier}
-    cuts = 16
-    for _ in range(10 if multiplier else 0):  # each step cuts the bracket in 16
-        grid = {s: [low[s] + (high[s] - low[s]) * k / cuts for k in range(1, cuts)] for s in multiplier}
-        sums = [F.sum(F.col("size") * _copies(_by_source({s: g[k] for s, g in grid.items()}))).alias(f"t{k}") for k in range(cuts - 1)]
-        got = _sums(inside, *sums)
-        for s, g in got.items():
-            under = [k for k in range(cuts - 1) if g[f"t{k}"] <= targets[s]]
-            at = [low[s], *grid[s], high[s]]
-            k = len(under)
-            low[s], high[s] = at[k], at[k + 1]
-    ends = _sums(inside, *[F.sum(F.col("size") * _copies(_by_source(b))).alias(a) for a, b in (("low", low), ("high", high))]) if multiplier else {}
-    shift = {s: low[s] if targets[s] - e["low"] <= e["high"] - targets[s] else high[s] for s, e in ends.items()}
-    copies = F.when((F.col("size") > 0) & (F.col("rate") > 0) & (F.col("rate") < MOST), _copies(F.coalesce(_by_source(shift), F.lit(0.0)))).otherwise(F.col("rate"))
+    # copies: floor(rate + dither + shift); the shift of a source moves its total up to its target
+    rated = written(rated.withColumn("dither", _dither("copies")), "rates")
+    inside = (F.col("size") > 0) & (F.col("rate") > 0) & (F.col("rate") < MOST)
+    shift = _thresholds(rated.where(inside), lambda t: F.col("size") * _copies(t), {s: targets[s] for s in multiplier}, -1.0, 1.0)
+    copies = F.when(inside, _copies(F.coalesce(_by_source(shift), F.lit(0.0)))).otherwise(F.col("rate"))
+    rated = rated.withColumn("copies", copies.cast("long"))
+    # what is then missing is less than the next document; one more copy of some that fit comes nearer
+    for turn in range(TOP_UPS if multiplier else 0):
+        got = _sums(rated, F.sum(F.col("copies") * F.col("size")).alias("tokens"))
+        missing = {s: targets[s] - got[s]["tokens"] for s in multiplier}
+        fits = inside & (F.col("copies") < MOST) & (F.col("size") <= F.coalesce(_by_source(missing), F.lit(0.0)))
+        again = _dither(f"top-up {turn}")
+        upto = _thresholds(rated.where(fits), lambda t, u=again: F.when(u < t, F.col("size")).otherwise(0), missing, 0.0, 1.0)
+        rated = written(rated.withColumn("copies", F.col("copies") + F.when(fits & (again < F.coalesce(_by_source(upto), F.lit(0.0))), 1).otherwise(0)), "rates")
     return (
-        rated.withColumn("copies", copies.cast("long"))
-        .withColumn("source_size", _by_source({s: float(n) for s, n in sizes.items()}).cast("long"))
+        rated.withColumn("source_size", _by_source({s: float(n) for s, n in sizes.items()}).cast("long"))
         .withColumn("target", _by_source(targets))
         .withColumn("taken", F.col("copies") * F.col("size"))
         .select("doc_id", "text_hash", "source", "size", "source_size", "target", "rate", "copies", "taken")
     )
 
 
+def _dither(name: str) -> Column:
+    """A number from 0 to 1 for each row, from its doc_id and text."""
+    return F.pmod(F.xxhash64("doc_id", "text_hash", F.lit(name)), F.lit(1 << 40)) / float(1 << 40)
+
+
+def _thresholds(rows: DataFrame, tokens: Callable[[Column], Column], goals: dict[str | None, float], low: float, high: float) -> dict[str | None, float]:
+    """For each source the largest threshold found at which the sum of ``tokens`` is not above its goal."""
+    lows, highs = dict.fromkeys(goals, low), dict.fromkeys(goals, high)
+    for _ in range(ROUNDS if goals else 0):
+        grid = {s: [lows[s] + (highs[s] - lows[s]) * k / CUTS for k in range(1, CUTS)] for s in goals}
+        got = _sums(rows, *[F.sum(tokens(_by_source({s: g[k] for s, g in grid.items()}))).alias(f"t{k}") for k in range(CUTS - 1)])
+        for s in goals:
+            under = sum(got[s][f"t{k}"] <= goals[s] for k in range(CUTS - 1)) if s in got else 0
+            at = [lows[s], *grid[s], highs[s]]
+            lows[s], highs[s] = at[under], at[under + 1]
+    return lows
+
+
 def _copies(shift: Column) -> Column:
     return F.greatest(F.lit(0), F.least(F.lit(MOST), F.floor(F.col("rate") + F.col("dither") + shift)))
 
