@@ -72,7 +72,7 @@ def with_bins(docs: DataFrame, text: str, bins: str) -> DataFrame:
         d,
         F.expr(
             f"concat(flatten(transform({m}, (x, i) -> array_append(array_repeat(cast(null as int), {gap}), cast(x & {low} as int)))),"
-            f" array_repeat(cast(null as int), {BINS - 1} - {place.format(f'element_at({m}, -1)')}))"
+            f" array_repeat(cast(null as int), {BINS - 1} - {place.format(f'try_element_at({m}, -1)')}))"
         ),
     )
     probes = ", ".join(f"{d}[{_literal(p)}[i]]" for p in _PROBE)
