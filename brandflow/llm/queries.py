@@ -98,6 +98,65 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_url_filter": r"""
+WITH parts AS (
+  SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), u AS (
+  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM parts
+), h AS (
+  SELECT *, CASE WHEN regexp_matches(host, '[^.]+[.][^.]+$') THEN regexp_extract(host, '([^.]+[.][^.]+)$', 1) ELSE host END AS domain,
+         regexp_extract(host, '([^.]*)$', 1) AS suffix, TRY_CAST(regexp_extract(path, '/([0-9]{1,18})(?:[.]html)?/?$', 1) AS BIGINT) AS doc_id FROM u
+), lab AS (
+  SELECT doc_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels GROUP BY doc_id
+), hosts AS (
+  SELECT suffix, domain, host, CAST(count(*) AS DOUBLE) AS n, CAST(sum(bad) AS DOUBLE) AS bad FROM h JOIN lab USING (doc_id) GROUP BY ALL
+), top AS (
+  SELECT coalesce(sum(bad), 0) + 1.0 AS a, coalesce(sum(n), 0) - coalesce(sum(bad), 0) + 1.0 AS b FROM hosts
+), suffix_c AS (
+  SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY suffix
+), suffix_m AS (
+  SELECT c.suffix, c.n, c.bad, p.a / (p.a + p.b) AS mean FROM suffix_c c JOIN top p ON true
+), suffix_s AS (
+  SELECT CASE WHEN count(*) > 0 AND sum(n) > count(*) AND sum(pow(bad / n - mean, 2) * n / (mean * (1 - mean))) > count(*)
+    THEN least(10000.0, greatest(2.0, (sum(n) - count(*)) / (sum(pow(bad / n - mean, 2) * n / (mean * (1 - mean))) - count(*)) - 1)) ELSE 10000.0 END AS k
+  FROM suffix_m
+), suffix_p AS (
+  SELECT suffix, bad + mean * k AS a, n - bad + (1 - mean) * k AS b FROM suffix_m, suffix_s
+), domain_c AS (
+  SELECT suffix, domain, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY suffix, domain
+), domain_m AS (
+  SELECT c.suffix, c.domain, c.n, c.bad, p.a / (p.a + p.b) AS mean FROM domain_c c JOIN suffix_p p ON c.suffix = p.suffix
+), domain_s AS (
+  SELECT CASE WHEN count(*) > 0 AND sum(n) > count(*) AND sum(pow(bad / n - mean, 2) * n / (mean * (1 - mean))) > count(*)
+    THEN least(10000.0, greatest(2.0, (sum(n) - count(*)) / (sum(pow(bad / n - mean, 2) * n / (mean * (1 - mean))) - count(*)) - 1)) ELSE 10000.0 END AS k
+  FROM domain_m
+), domain_p AS (
+  SELECT suffix, domain, bad + mean * k AS a, n - bad + (1 - mean) * k AS b FROM domain_m, domain_s
+), host_c AS (
+  SELECT suffix, domain, host, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY suffix, domain, host
+), host_m AS (
+  SELECT c.suffix, c.domain, c.host, c.n, c.bad, p.a / (p.a + p.b) AS mean FROM host_c c JOIN domain_p p ON c.suffix = p.suffix AND c.domain = p.domain
+), host_s AS (
+  SELECT CASE WHEN count(*) > 0 AND sum(n) > count(*) AND sum(pow(bad / n - mean, 2) * n / (mean * (1 - mean))) > count(*)
+    THEN least(10000.0, greatest(2.0, (sum(n) - count(*)) / (sum(pow(bad / n - mean, 2) * n / (mean * (1 - mean))) - count(*)) - 1)) ELSE 10000.0 END AS k
+  FROM host_m
+), host_p AS (
+  SELECT suffix, domain, host, bad + mean * k AS a, n - bad + (1 - mean) * k AS b FROM host_m, host_s
+), post AS (
+  SELECT h.page_id, h.host, h.path, coalesce(x.a, d.a, s.a, t.a) AS a, coalesce(x.b, d.b, s.b, t.b) AS b
+  FROM h CROSS JOIN top t LEFT JOIN suffix_p s ON s.suffix = h.suffix LEFT JOIN domain_p d ON d.suffix = h.suffix AND d.domain = h.domain
+  LEFT JOIN host_p x ON x.suffix = h.suffix AND x.domain = h.domain AND x.host = h.host
+), rules(what, rh, rp) AS (
+  VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('allow', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+), fits AS (
+  SELECT DISTINCT page_id, host, path, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(what, length(rh || rp)) AS what
+  FROM u JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY page_id, host, path
+)
+SELECT p.page_id, p.host, p.path, f.rule,
+       coalesce(f.what, CASE WHEN a / (a + b) - 1.645 * sqrt(a / (a + b) * (1 - a / (a + b)) / (a + b + 1)) > 0.5 THEN 'block' ELSE 'allow' END) AS verdict
+FROM post p LEFT JOIN fits f ON p.page_id IS NOT DISTINCT FROM f.page_id AND p.host = f.host AND p.path = f.path
+""",
     # words are compared window by window, without an index
     "op4_decontamination": r"""
 WITH d AS (
