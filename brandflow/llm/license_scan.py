@@ -103,21 +103,16 @@ class Matcher:
 
 
 def _frequencies(templates: dict[str, str]):
-    vocabulary = sorted({w for t in templates.values() for w in words(t)})
+    known = {w for t in templates.values() for w in words(t)}
+    vocabulary = sorted(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, counts = 0, dict.fromkeys(vocabulary, 0)
         for batch in batches:
             n += batch.num_rows
             for text in batch.column(0):
-                low = (text.as_py() or "").lower()
-                for w in vocabulary:
-                    at = low.find(w)
-                    while at >= 0:
-                        if not low[at - 1 : at].isalnum() and not low[at + len(w) : at + len(w) + 1].isalnum():
-                            counts[w] += 1
-                            break
-                        at = low.find(w, at + 1)
+                for w in known.intersection(words(text.as_py() or "")):
+                    counts[w] += 1
         yield pa.RecordBatch.from_pydict({"word": ["", *vocabulary], "n": pa.array([n, *counts.values()], pa.int64())})
 
     return run
