@@ -11,9 +11,10 @@ the Jaccard similarity as tightly as with independent coordinates.
 1. One pass over the texts writes, per row: set size, set fingerprint, band keys.
    Rows with equal sets are one class from here on.
 2. Classes that share a band key are candidates. Every class is compared with
-   the smallest class of each of its buckets only; verified links join classes
-   into components. Then every pair of classes that shares a bucket but lies in
-   different components is compared, so no candidate link is lost and the
+   one class of each of its buckets, the center; verified links join classes
+   into components. Classes that share a center but lie in different components
+   may still be linked: those pairs are found through the elements in which they
+   differ from the center (see ``_across``). So no candidate link is lost, and the
    members of a large group are not paired with one another.
 3. A candidate is verified by the exact intersection of the two full sets.
 
@@ -33,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import component_labels
@@ -148,27 +149,25 @@ def judged_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
         "classes",
     )
     member = written(classes.select("class", F.col("n_shingles").alias("size"), F.explode("bands").alias("key")), "buckets")
-    shared = member.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("class", "size")).alias("center")).where("n > 1")
-    joined = written(member.join(shared.select("key", "center"), "key"), "shared")
-
-    # every class against the center of its buckets
-    stars = joined.where((F.col("class") != F.col("center.class")) & _sizes_fit("size", "center.size", percent))
-    first = written(stars.select(F.col("center.class").alias("a"), F.col("class").alias("b")).distinct(), "candidates")
-    links = _verified(first, classes, texts, words, percent)
+    shared = member.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    joined = written(member.join(shared, "key"), "shared")
+
+    # every class against the center of its buckets: the class that meets most others
+    met = joined.groupBy("class").agg(F.sum("n").alias("met"))
+    center = joined.join(met, "class").groupBy("key").agg(F.max(F.struct("met", "class", "size")).alias("center"))
+    stars = joined.join(center, "key").where(F.col("class") != F.col("center.class"))
+    stars = stars.select(F.col("center.class").alias("a"), F.col("class").alias("b"), F.col("center.size").alias("a_size"), F.col("size").alias("b_size"))
+    stars = written(stars.distinct(), "stars")
+    wanted = stars.select(F.col("a").alias("class")).union(stars.select("b")).distinct().join(classes.select("class", "row"), "class")
+    there = texts["doc_id"].eqNullSafe(wanted["row.doc_id"]) & (texts["text_hash"] == wanted["row.text_hash"])
+    own = texts.join(wanted, there).select("class", "text").dropDuplicates(["class"])  # a row may be there several times
+    sets = written(own.mapInArrow(_sets(words), "class long, elements array<long>"), "sets")
+    links = _similar(stars.where(_sizes_fit("a_size", "b_size", percent)).select("a", "b"), sets, percent)
     labels = component_labels(links)
 
-    # buckets that still span several components: every pair across them that was not compared yet
-    part = joined.join(labels.withColumnRenamed("node", "class"), "class", "left").select("key", "class", "size", F.coalesce("label", "class").alias("part"))
-    split = part.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key")
-    part = written(part.join(split, "key"), "split")
-    x, y = part.alias("x"), part.alias("y")
-    across = (
-        x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.part") < F.col("y.part")) & _sizes_fit("x.size", "y.size", percent))
-        .select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b"))
-        .distinct()
-        .join(first, ["a", "b"], "left_anti")
-    )
-    links = links.unionByName(_verified(written(across, "candidates"), classes, texts, words, percent))
+    # links between classes of a bucket that are still apart
+    more = _similar(written(_across(stars, labels, sets, percent), "candidates"), sets, percent)
+    links = links.unionByName(more)
     labels = component_labels(links)
 
     found = classes.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("label", F.coalesce("label", "class"))
@@ -215,14 +214,57 @@ def _sizes_fit(x: str, y: str, percent: int):
     return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose full sets are similar enough. ``pairs`` is a written table."""
-    wanted = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b"))).distinct().join(classes.select("class", "row"), "class")
-    found = texts["doc_id"].eqNullSafe(wanted["row.doc_id"]) & (texts["text_hash"] == wanted["row.text_hash"])
-    own = texts.join(wanted, found).select("class", "text").dropDuplicates(["class"])  # a row may be there several times
-    sets = written(own.mapInArrow(_sets(words), "class long, elements array<long>"), "sets")
-    a = sets.select(F.col("class").alias("a"), F.col("elements").alias("left"))
-    b = sets.select(F.col("class").alias("b"), F.col("elements").alias("right"))
-    both = pairs.join(a, "a").join(b, "b").withColumn("common", F.size(F.array_intersect("left", "right")))
+def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose full sets are similar enough."""
+    both = _with_sets(pairs, sets).withColumn("common", F.size(F.array_intersect("left", "right")))
     similar = 100 * F.col("common") >= percent * (F.size("left") + F.size("right") - F.col("common"))
     return written(both.where(similar).select("a", "b"), "links")
+
+
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    a = sets.select(F.col("class").alias("a"), F.col("elements").alias("left"))
+    b = sets.select(F.col("class").alias("b"), F.col("elements").alias("right"))
+    return pairs.join(a, "a").join(b, "b")
+
+
+def _across(stars: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that may be linked, among the classes that share a center c.
+
+    Let D(x) be the elements in which x and c differ. With similarity p percent
+    and r = (100 - p) / (100 + p), x and y are linked if and only if they differ in at
+    most ``r (|x| + |y|)`` elements, and they differ in ``|D(x)| + |D(y)| - 2 s``, where s
+    is the number of elements that D(x) and D(y) share. So a link needs
+
+        s >= (|D(x)| + |D(y)| - r (|x| + |y|)) / 2.
+
+    Of two classes in different components at least one, y, is not linked with c:
+    ``|D(y)| > r (|y| + |c|)``. That bounds s from below for either class alone (see
+    ``least``), by 1 at the least. Then both must share one of their first
+    ``|D| - s + 1`` elements in any common order; rare ones come first, so the
+    random edits of near copies meet nobody, however large their group is.
+    """
+    part = labels.select(F.col("node"), F.col("label"))
+    x = stars.join(part.withColumnRenamed("node", "b"), "b", "left").withColumn("part", F.coalesce("label", "b")).drop("label")
+    x = x.join(part.withColumnRenamed("node", "a"), "a", "left").withColumn("center_part", F.coalesce("label", "a")).drop("label")
+    x = written(x, "parted")
+    apart = x.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.max((F.col("part") != F.col("center_part")).cast("int")).alias("apart")).where("n > 1 and apart = 1")
+    x = x.join(apart.select("a"), "a")
+    differ = F.concat(F.array_except("left", "right"), F.array_except("right", "left"))
+    x = _with_sets(x, sets).withColumn("differ", differ).withColumn("d", F.size("differ").cast("long"))
+    q, r = 100 + percent, 100 - percent
+    outside = F.ceil((q * F.col("d") - r * (F.col("a_size") + F.col("b_size"))) / F.lit(2 * q))
+    inside = F.floor((q * F.col("d") + r * (F.col("a_size") - F.col("b_size"))) / F.lit(2 * q)) + 1
+    least = F.greatest(F.lit(1), F.when(F.col("part") == F.col("center_part"), inside).otherwise(outside))
+    rows = written(x.select("a", "b", "b_size", "part", "d", least.alias("least"), F.explode("differ").alias("element")), "differences")
+    times = rows.groupBy("a", "element").agg(F.count(F.lit(1)).alias("times"), F.min("part").alias("low"), F.max("part").alias("high"))
+    order = Window.partitionBy("a", "b").orderBy("times", "element")
+    first = rows.join(times, ["a", "element"]).withColumn("place", F.row_number().over(order))
+    first = written(first.where((F.col("place") <= F.col("d") - F.col("least") + 1) & (F.col("low") < F.col("high"))).drop("low", "high", "times", "least"), "first-differences")
+    x, y = first.alias("x"), first.alias("y")
+    # what is left of either set from the shared element on bounds s from above
+    left_over = F.least(F.col("x.d") - F.col("x.place") + 1, F.col("y.d") - F.col("y.place") + 1)
+    enough = 2 * q * left_over >= q * (F.col("x.d") + F.col("y.d")) - r * (F.col("x.b_size") + F.col("y.b_size"))
+    same = (F.col("x.a") == F.col("y.a")) & (F.col("x.element") == F.col("y.element")) & (F.col("x.part") < F.col("y.part"))
+    pairs = x.join(y, same & enough).select(F.least("x.b", "y.b").alias("a"), F.greatest("x.b", "y.b").alias("b")).distinct()
+    done = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return pairs.join(done, ["a", "b"], "left_anti")
