@@ -50,7 +50,10 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     ap.add_argument("--p2", nargs=2, type=_date, metavar=("START", "END"))
     ap.add_argument("--variant", default="v6", choices=sorted(VARIANTS))
     ap.add_argument("--out", help="write the matrix here (Parquet); default: print it")
-    return ap.parse_args(argv)
+    args = ap.parse_args(argv)
+    if (args.p1 is None) != (args.p2 is None):
+        ap.error("--p1 and --p2 go together")
+    return args
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
@@ -83,7 +86,9 @@ def main(argv: list[str] | None = None) -> None:
     if args.out:
         result.write.mode("errorifexists").parquet(args.out)
     else:
-        result.show(n=10_000, truncate=False)
+        print(*result.columns, sep="\t")
+        for row in result.toLocalIterator():  # every cell
+            print(*row, sep="\t")
 
 
 if __name__ == "__main__":

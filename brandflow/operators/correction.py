@@ -15,15 +15,15 @@ def correction_factors(cs: DataFrame) -> DataFrame:
     At most one row per bucket, so the result is safe to broadcast.
     """
     sums = cs.groupBy("brand").agg(
-        F.sum("spent_p1_cs").alias("brand_sales_p1_cs"),
-        F.sum("spent_p2_cs").alias("brand_sales_p2_cs"),
-        F.sum("spent_p1_fs").alias("brand_sales_p1_fs"),
-        F.sum("spent_p2_fs").alias("brand_sales_p2_fs"),
+        F.sum("spent_p1_cs").alias("panel_p1"),
+        F.sum("spent_p2_cs").alias("panel_p2"),
+        F.sum("spent_p1_fs").alias("market_p1"),
+        F.sum("spent_p2_fs").alias("market_p2"),
     )
     return sums.select(
         "brand",
-        ratio_or_zero("brand_sales_p1_fs", "brand_sales_p1_cs").alias("corr_factor_p1"),
-        ratio_or_zero("brand_sales_p2_fs", "brand_sales_p2_cs").alias("corr_factor_p2"),
+        ratio_or_zero("market_p1", "panel_p1").alias("corr_factor_p1"),
+        ratio_or_zero("market_p2", "panel_p2").alias("corr_factor_p2"),
     )
 
 

@@ -1,113 +1,59 @@
 """Brand-to-brand gains and losses, summed over households.
 
-For every household and every ordered pair of its buckets (B1, B2), diagonal
-included, the reference computes
-
-    gain(B1, B2) = q1[B2] * IFNULL(SAFE_DIVIDE(q2[B1], cseg), 0)
-    loss(B1, B2) = q1[B1] * IFNULL(SAFE_DIVIDE(q2[B2], cseg), 0)
-
-with ``q1 = cseg_p1`` and ``q2 = cseg_p2`` from C8/C9, and then sums both over
-households. It enumerates the pairs with a self-join (or ARRAY_AGG + UNNEST).
-
-Here no pair is ever emitted. Each (household, B1) row gets, from one window
-over its household, the household's value of every bucket (a dense vector
-with one column per bucket), and the sum over households becomes an ordinary
-conditional-sum aggregation grouped by B1:
-
-    gain(B1, b) = SUM over (h, B1) rows of  x_b(h) * f(h, B1)
-    loss(B1, b) = SUM over (h, B1) rows of  q1(h, B1) * y_b(h)
-
-where ``x_b`` is the household's ``q1`` for bucket ``b``, ``y_b`` its
-``IFNULL(q2 / cseg, 0)`` for ``b`` and ``f`` the row's own ``IFNULL(q2 / cseg, 0)``.
-Each term is bit-for-bit the reference's pair term. A bucket the household
-did not buy has a NULL vector entry, so its term is skipped exactly like a
-missing pair; a cell exists when some household holds both buckets (tracked
-by a count), and is NULL only when all its terms are NULL, as with ``SUM``.
-
-Work per (household, bucket) row is linear in the number of buckets, the
-aggregation is partial map-side (at most one row per bucket per task), and
-only one row per bucket crosses the final shuffle. Buckets are processed in
-blocks so that the number of window columns per pass stays bounded; with more
-than one block the allocated rows are written once (bucketed by household)
-and every block reads them without a shuffle.
+For a household and an ordered pair of its buckets (B1, B2), diagonal included,
+
+    gain(B1, B2) = q1[B2] * f[B1],    f = IFNULL(SAFE_DIVIDE(q2, cseg), 0)
+    loss(B1, B2) = gain(B2, B1)
+
+with ``q1 = cseg_p1`` and ``q2 = cseg_p2`` from C8/C9; both are summed over
+households.
+
+A household's buckets are gathered into one sorted array (one row per bucket at
+most, whatever it bought). Two explodes walk the unordered pairs of that array
+straight into the map-side partial aggregate, grouped by the pair of buckets,
+which sums the gains of both directions: the other direction's gain is this
+one's loss. No pair row is stored or shuffled; at most one row per task and
+pair of buckets that occurs crosses the shuffle. The cost is the number of pairs
+households really hold, ``sum of k (k + 1) / 2`` for households of k buckets, and
+at worst that with k = the number of buckets; it does not depend on how many
+buckets the map has.
+
+Terms are NULL where ``q1`` is NULL (``f`` never is), and a cell is NULL only
+when all its terms are, as with ``SUM``. A cell exists when some household holds
+both buckets.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ratio_or_zero
-from ..sources.stores import materialize_by_household
-
-BLOCK_SIZE = 64
-
-
-def _block_cells(base: DataFrame, block: list[str], offset: int) -> DataFrame:
-    # Per-bucket columns are written as SQL expressions over the integer bucket
-    # index (one driver call per column; bucket names never enter SQL text).
-    over = "OVER (PARTITION BY hhkey)"
-    vec = []
-    for j in range(len(block)):
-        is_b = f"bucket_idx = {offset + j}"
-        vec += [
-            f"sum(CASE WHEN {is_b} THEN cseg_p1 END) {over} AS x{j}",
-            f"sum(CASE WHEN {is_b} THEN f_p2 END) {over} AS y{j}",
-            f"count(CASE WHEN {is_b} THEN 1 END) {over} AS n{j}",
-        ]
-    rows = base.selectExpr("brand", "cseg_p1", "f_p2", *vec)
-    aggs = []
-    for j in range(len(block)):
-        aggs += [f"sum(x{j} * f_p2) AS g{j}", f"sum(cseg_p1 * y{j}) AS l{j}", f"sum(n{j}) AS c{j}"]
-    sums = rows.groupBy("brand").agg(*[F.expr(a) for a in aggs])
-    cells = ", ".join(
-        f"struct({offset + j} AS b2_idx, g{j} AS gains, l{j} AS losses, c{j} AS n_households)"
-        for j in range(len(block))
-    )
-    return sums.selectExpr("brand AS B1", f"inline(array({cells}))")
 
 
-def flow_sums(allocated: DataFrame, buckets: list[str], *, block_size: int = BLOCK_SIZE) -> DataFrame:
+def flow_sums(allocated: DataFrame) -> DataFrame:
     """Unrounded ``B1, B2, gains, losses, n_households`` for every existing cell."""
-    buckets = list(buckets)
-    spark = allocated.sparkSession
-    # bucket -> index: a hash lookup in a broadcast table of at most MAX_BUCKETS rows
-    index = spark.createDataFrame(list(enumerate(buckets)), "bucket_idx INT, brand STRING")
-    base = allocated.join(F.broadcast(index), "brand", "left").select(
-        "hhkey",
-        "brand",
-        "cseg_p1",
-        ratio_or_zero("cseg_p2", "cseg").alias("f_p2"),
-        F.coalesce(F.col("bucket_idx"), F.lit(-1)).alias("bucket_idx"),
+    row = F.struct(F.col("brand").alias("b"), F.col("cseg_p1").alias("q1"), ratio_or_zero("cseg_p2", "cseg").alias("f"))
+    held = allocated.groupBy("hhkey").agg(F.sort_array(F.collect_list(row)).alias("held"))
+    first = held.select("held", F.posexplode("held").alias("i", "x"))
+    pairs = first.select("x", F.explode(F.expr("slice(held, i + 1, size(held) - i)")).alias("y"))
+    sums = pairs.groupBy(F.col("x.b").alias("low"), F.col("y.b").alias("high")).agg(
+        F.sum(F.col("y.q1") * F.col("x.f")).alias("up"),
+        F.sum(F.col("x.q1") * F.col("y.f")).alias("down"),
+        F.count(F.lit(1)).alias("n_households"),
     )
-    starts = range(0, len(buckets), block_size)
-    if len(starts) > 1:
-        # each block is one more pass over the rows: write them once, bucketed by
-        # household, instead of recomputing C6/C9 for every block
-        base = materialize_by_household(base, "c3_alloc")
-    cells = reduce(DataFrame.unionByName, [_block_cells(base, buckets[s : s + block_size], s) for s in starts])
-    names = F.array(*[F.lit(b) for b in buckets])
-    return cells.where(F.col("n_households") > 0).select(
-        "B1",
-        F.element_at(names, F.col("b2_idx") + F.lit(1)).alias("B2"),
-        "gains",
-        "losses",
-        "n_households",
+    # one row for each direction; the diagonal has one
+    cells = F.expr(
+        "inline(CASE WHEN low = high THEN array(struct(low AS B1, high AS B2, up AS gains, down AS losses))"
+        " ELSE array(struct(low AS B1, high AS B2, up AS gains, down AS losses),"
+        " struct(high AS B1, low AS B2, down AS gains, up AS losses)) END)"
     )
+    return sums.select(cells, "n_households")
 
 
-def gain_loss_matrix(
-    allocated: DataFrame,
-    buckets: list[str],
-    *,
-    digits: int = 2,
-    block_size: int = BLOCK_SIZE,
-    ordered: bool = True,
-) -> DataFrame:
+def gain_loss_matrix(allocated: DataFrame, *, digits: int = 2, ordered: bool = True) -> DataFrame:
     """``B1, B2, total_gains_b1_to_b2, total_losses_b1_to_b2``, rounded, ordered."""
-    out = flow_sums(allocated, buckets, block_size=block_size).select(
+    out = flow_sums(allocated).select(
         "B1",
         "B2",
         F.round("gains", digits).alias("total_gains_b1_to_b2"),

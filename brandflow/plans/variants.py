@@ -40,7 +40,6 @@ from ..operators import (
     gain_loss_matrix,
     spend_by_household_brand,
 )
-from ..sources.brand_map import bucket_names
 from ..sources.stores import materialize_by_household, scratch_root
 
 
@@ -142,9 +141,13 @@ def gain_loss(
 ) -> DataFrame:
     """Brand-by-brand gains and losses: ``B1, B2, total_gains_b1_to_b2, total_losses_b1_to_b2``.
 
+    Unless ``materialize="none"``, the call itself runs jobs: a look at the size
+    of the brand map, and the write of C3. ``sources.drop_scratch_tables`` removes
+    the C3 tables of this application once its results are no longer needed.
+
     ``purchases`` must match the variant's source: raw rows (string or DATE
     ``datep``) for v1-v6, pre-weighted rows for v7 (then ``households`` may be None).
     """
     v = VARIANTS[variant] if isinstance(variant, str) else variant
     allocated = allocated_spend(purchases, households, brand_map, periods, v, materialize=materialize)
-    return gain_loss_matrix(allocated, bucket_names(brand_map), digits=digits)
+    return gain_loss_matrix(allocated, digits=digits)

@@ -1,8 +1,7 @@
 """The brand map: which purchase brands roll up into which analysis bucket.
 
 The map is a small dimension table. It is broadcast only after a row count
-proves it small (otherwise it is joined like any other table), and its bucket
-names reach the driver only as a bounded list.
+proves it small (otherwise it is joined like any other table).
 """
 
 from __future__ import annotations
@@ -22,10 +21,6 @@ _LOCAL_SCHEMA = T.StructType([T.StructField(f.name, f.dataType) for f in BRAND_M
 
 # Largest brand map that is broadcast to every task.
 MAX_BROADCAST_MAP_ROWS = 1_000_000
-# Largest number of buckets the matrix stage accepts (one window column per bucket
-# and block; see operators/matrix.py).
-MAX_BUCKETS = 10_000
-
 # The retailer brand map of the reference study, in its order
 # (brand, aggregation). The last two brands fold into FACHHANDEL.
 REFERENCE_BRAND_MAP = [
@@ -64,9 +59,17 @@ def reference_brand_map(spark: SparkSession) -> DataFrame:
     return brand_map_from_rows(spark, REFERENCE_BRAND_MAP)
 
 
+def _not_null(name: str) -> F.Column:
+    message = F.lit(f"NULL value in NOT NULL column {name} of a brand map")
+    return F.when(F.col(name).isNull(), F.raise_error(message).cast("string")).otherwise(F.col(name)).alias(name)
+
+
 def write_brand_map(brand_map: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Store a brand map (``CREATE TABLE`` + ``INSERT``): 'errorifexists' or 'append'."""
-    brand_map.select("brand", "aggregation").write.mode(mode).parquet(path)
+    """Store a brand map (``CREATE TABLE`` + ``INSERT``): 'errorifexists' or 'append'.
+
+    Both columns are NOT NULL: a row with a NULL in either makes the write fail.
+    """
+    brand_map.select(_not_null("brand"), _not_null("aggregation")).write.mode(mode).parquet(path)
 
 
 def read_brand_map(spark: SparkSession, path: str) -> DataFrame:
@@ -79,38 +82,27 @@ LOCAL_MAP_ROWS = 10_000
 
 class MapProfile(NamedTuple):
     n_rows: int
-    buckets: list[str]  # sorted, REST included
     local: DataFrame | None  # the map as a local relation, when it is small
 
 
 _PROFILES: "weakref.WeakKeyDictionary[DataFrame, MapProfile]" = weakref.WeakKeyDictionary()
 
 
-def map_profile(brand_map: DataFrame, max_buckets: int = MAX_BUCKETS) -> MapProfile:
-    """Row count, bucket names and (when small) a local copy of a brand map, in one small job.
+def map_profile(brand_map: DataFrame) -> MapProfile:
+    """Row count and (when small) a local copy of a brand map, in one small job.
 
     At most ``LOCAL_MAP_ROWS + 1`` rows are read to the driver. A small map is
     kept as a local relation, so later plans neither rescan nor recompute it
-    (a broadcast would ship it through the driver anyway). A larger one is
-    aggregated per bucket on the cluster and only the bucket rows come back.
-    More than ``max_buckets`` buckets raise: the matrix stage is planned with
-    one set of columns per bucket. The result is remembered per DataFrame.
+    (a broadcast would ship it through the driver anyway). Of a larger one only
+    the count comes back. The result is remembered per DataFrame.
     """
-    if brand_map in _PROFILES:
-        return _PROFILES[brand_map]
-    m = brand_map.select("brand", "aggregation")
-    rows = m.limit(LOCAL_MAP_ROWS + 1).collect()
-    if len(rows) <= LOCAL_MAP_ROWS:
-        n, names = len(rows), {r[1] for r in rows if r[1] is not None}
-        local = brand_map.sparkSession.createDataFrame(rows, _LOCAL_SCHEMA)
-    else:
-        counts = m.groupBy("aggregation").count().limit(max_buckets + 2).collect()
-        n, names = sum(r[1] for r in counts), {r[0] for r in counts if r[0] is not None}
-        local = None
-    names.add(REST_BUCKET)
-    if len(names) > max_buckets:
-        raise ValueError(f"brand map has more than {max_buckets} buckets")
-    _PROFILES[brand_map] = MapProfile(n, sorted(names), local)
+    if brand_map not in _PROFILES:
+        m = brand_map.select("brand", "aggregation")
+        rows = m.limit(LOCAL_MAP_ROWS + 1).collect()
+        if len(rows) <= LOCAL_MAP_ROWS:
+            _PROFILES[brand_map] = MapProfile(len(rows), brand_map.sparkSession.createDataFrame(rows, _LOCAL_SCHEMA))
+        else:
+            _PROFILES[brand_map] = MapProfile(m.count(), None)
     return _PROFILES[brand_map]
 
 
@@ -118,7 +110,9 @@ def checked_map(brand_map: DataFrame, max_rows: int = MAX_BROADCAST_MAP_ROWS) ->
     """The brand map, broadcast-hinted when its row count is proven small.
 
     Beyond ``max_rows`` no hint is given and the planner joins it like any
-    other table (sort-merge, or a broadcast AQE picks from runtime sizes).
+    other table (sort-merge, or a broadcast AQE picks from runtime sizes). That
+    join shuffles the purchases by brand; a brand with a large share of them is
+    split by AQE's skew join, which must then be on.
     """
     prof = map_profile(brand_map)
     if prof.local is not None and prof.n_rows <= max_rows:
@@ -127,9 +121,10 @@ def checked_map(brand_map: DataFrame, max_rows: int = MAX_BROADCAST_MAP_ROWS) ->
     return F.broadcast(m) if prof.n_rows <= max_rows else m
 
 
-def bucket_names(brand_map: DataFrame, max_buckets: int = MAX_BUCKETS) -> list[str]:
+def bucket_names(brand_map: DataFrame) -> list[str]:
     """Sorted bucket names of a map, plus the catch-all bucket for unmapped brands."""
-    return map_profile(brand_map, max_buckets).buckets
+    names = {r[0] for r in brand_map.select("aggregation").distinct().collect() if r[0] is not None}
+    return sorted(names | {REST_BUCKET})
 
 
 def map_checks(brand_map: DataFrame) -> DataFrame:

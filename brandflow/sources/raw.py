@@ -1,7 +1,7 @@
 """Read the raw purchase and household tables with explicit schemas.
 
-Only the columns the analysis uses are selected, so a columnar source reads
-nothing else; other formats get the schema applied at read time (no
+All purchase columns are offered, since a store keeps them all; a columnar
+source reads only those that a query uses, and a column it lacks is NULL. Other formats get the schema applied at read time (no
 inference pass over the data).
 """
 
@@ -26,11 +26,12 @@ def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str, **opti
         return reader.schema(schema).load(path)
     # self-describing formats: read the file schema, then select and cast
     df = reader.load(path)
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    there = {c.lower() for c in df.columns}
+    return df.select(*[(F.col(f.name) if f.name.lower() in there else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_purchases(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
-    """Raw purchases: ``hhkey, occaskey, brand, datep ('yyyyMMdd'), value, brandfactor, rwkorr, rwstd, fullmasW``."""
+    """Raw purchases: ``hhkey, occaskey, recid, brand, datep ('yyyyMMdd'), value, brandfactor, rwkorr, rwstd, fullmasW, continuo``."""
     return _read(spark, path, RAW_PURCHASES, fmt, **options)
 
 

@@ -7,6 +7,7 @@ RAW_PURCHASES = T.StructType(
     [
         T.StructField("hhkey", T.LongType()),
         T.StructField("occaskey", T.LongType()),
+        T.StructField("recid", T.LongType()),
         T.StructField("brand", T.StringType()),
         T.StructField("datep", T.StringType()),
         T.StructField("value", T.DoubleType()),
@@ -14,6 +15,7 @@ RAW_PURCHASES = T.StructType(
         T.StructField("rwkorr", T.DoubleType()),
         T.StructField("rwstd", T.DoubleType()),
         T.StructField("fullmasW", T.DoubleType()),
+        T.StructField("continuo", T.DoubleType()),
     ]
 )
 

@@ -2,14 +2,14 @@
 
 Layout: Parquet partitioned by month (``month`` = first day of the month of
 ``datep``; or by ``datep`` itself with ``granularity="day"``), rows sorted by
-``datep, hhkey, brand`` inside each file. So each file holds consecutive days,
-each day clustered by household and brand as in the reference's day
-partitions; a period filter prunes whole month directories (``classify`` adds
-the month predicate implied by the date filter), and row-group statistics on
-``datep`` skip the days outside the period within a boundary month. Month
-directories keep the directory count small: a day partition of a small panel
-holds a few hundred rows, and listing thousands of such directories costs more
-than reading them.
+``hhkey, brand, datep`` inside each file: clustered by household and brand, as
+the reference clusters its day partitions. So the rows of a household lie
+together, a scan task's partial aggregate meets each (household, brand) once,
+and row-group statistics on ``hhkey`` skip for household look-ups. A period
+filter prunes whole month directories (``classify`` adds the month predicate
+implied by the date filter). Month directories keep the directory count small:
+a day partition of a small panel holds a few hundred rows, and listing thousands
+of such directories costs more than reading them.
 
 Before the write the rows are rebalanced by the partition column (Spark's
 REBALANCE hint): rows of one partition meet in one task, so it is written as
@@ -35,19 +35,22 @@ from ..operators.spend import household_weights
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session has none (a local test run) a temporary folder is
-    created and registered as the checkpoint folder.
+    A session without it is an error on a cluster, where a folder of one machine
+    would be lost to the others. Only in a local session, as in tests, a
+    temporary folder takes its place.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="brandflow-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="brandflow-scratch-"))
+        root = sc.getCheckpointDir()
     return root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return os.path.join(scratch_root(spark), "brandflow", f"{name}-{uuid.uuid4().hex}")
+    return f"{scratch_root(spark).rstrip('/')}/brandflow/{name}-{uuid.uuid4().hex}"
 
 
 MONTH = "month"
@@ -73,7 +76,8 @@ def _write_partitioned(
     hint = ("rebalance", num_partitions, part) if num_partitions else ("rebalance", part)
     writer = (
         df.hint(*hint)
-        .sortWithinPartitions("datep", "hhkey", "brand")
+        # the partition column first: the writer wants its rows together and else sorts anew
+        .sortWithinPartitions(part, "hhkey", "brand", "datep")
         .write.mode(mode)
         .partitionBy(part)
     )
@@ -139,6 +143,7 @@ def weighted_purchases(purchases: DataFrame, households: DataFrame) -> DataFrame
     base = F.col("value") * F.col("brandfactor")
     return (
         _typed_dates(purchases)
+        .drop("continuo")  # the household's weight counts, not the purchase's copy of it
         .join(hh, "hhkey")
         .select(
             "hhkey",
@@ -178,36 +183,45 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(initial or spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Buckets of a C3 table at most; Spark's own limit is 100 000, and C3 is far smaller than the purchases.
+MAX_TABLE_BUCKETS = 8192
+
+#: C3 tables that this application wrote, with their folders.
+_OWN_TABLES: dict[str, list[tuple[str, str]]] = {}
+
+
 def materialize_by_household(df: DataFrame, name: str, *, partitioned: bool = False) -> DataFrame:
     """Write ``df`` as a table bucketed by ``hhkey`` in the checkpoint folder; read it back.
 
     This cuts the lineage like ``checkpoint()``, and the bucketed scan reports
     ``hashpartitioning(hhkey)``, so windows and joins on the household read it
-    without another shuffle. The bucket count is the session's shuffle
-    partition count: when ``df`` comes out of a shuffle on ``hhkey``
-    (``partitioned=True``), every task holds whole buckets and the write adds
-    neither a shuffle nor more than one file per bucket and task. Otherwise
-    the rows are shuffled by ``hhkey`` first, so a task does not write a file
-    for every bucket.
+    without another shuffle. The bucket count is the session's shuffle partition
+    count, up to ``MAX_TABLE_BUCKETS``. When both counts agree and ``df`` comes
+    out of a shuffle on ``hhkey`` (``partitioned=True``), every task holds whole
+    buckets and the write adds neither a shuffle nor more than one file per
+    bucket and task. Otherwise the rows are shuffled by ``hhkey`` first, so a task
+    does not write a file for every bucket.
     """
     spark = df.sparkSession
-    n = shuffle_partitions(spark)
+    n = min(shuffle_partitions(spark), MAX_TABLE_BUCKETS)
     table = f"brandflow_{name}_{uuid.uuid4().hex[:12]}"
-    if not partitioned:
+    path = scratch_path(spark, name)
+    if not partitioned or n != shuffle_partitions(spark):
         df = df.repartition(n, "hhkey")
-    (
-        df.write.bucketBy(n, "hhkey")
-        .option("path", scratch_path(spark, name))
-        .saveAsTable(table)
-    )
+    _OWN_TABLES.setdefault(spark.sparkContext.applicationId, []).append((table, path))
+    df.write.bucketBy(n, "hhkey").option("path", path).saveAsTable(table)
     return spark.table(table)
 
 
-def drop_scratch_tables(spark: SparkSession, prefix: str = "brandflow_c3_") -> int:
-    """Drop the catalog entries of materialized C3 tables (their files stay in the
-    checkpoint folder and go with it). Only needed with a persistent metastore;
-    the default in-memory catalog forgets them when the session ends."""
-    names = [t.name for t in spark.catalog.listTables() if t.name.startswith(prefix) and not t.isTemporary]
-    for name in names:
-        spark.sql(f"DROP TABLE IF EXISTS `{name}`")
-    return len(names)
+def drop_scratch_tables(spark: SparkSession) -> int:
+    """Drop the C3 tables that this application wrote, and their files. Tables of others stay.
+
+    Results that read them can't be computed any more: call it after they were used.
+    """
+    own = _OWN_TABLES.pop(spark.sparkContext.applicationId, [])
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for table, path in own:
+        spark.sql(f"DROP TABLE IF EXISTS `{table}`")
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
+    return len(own)

@@ -57,18 +57,15 @@ def table(spark: SparkSession, sf_dir: str, name: str, *, declared: bool = True)
     return reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def _spread(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
+def spread(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
     """Hash-spread an input that the scan cannot split over the cluster's cores.
 
     A Parquet file with one row group is read by one task whatever its size,
     and everything before the first shuffle (joins, date handling, partial
-    aggregation) would then run in that task. A large input has at least as
-    many scan partitions as the session has cores and is left as it is.
+    aggregation) would then run in that task. Meant for the single-file test
+    tables, and only on request: on a cluster it is a full shuffle of the input.
     """
-    n = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < n:
-        return df.repartition(n, key)
-    return df
+    return df.repartition(spark.sparkContext.defaultParallelism, key)
 
 
 def _ship_date(li: DataFrame) -> F.Column:
@@ -83,13 +80,17 @@ def _ship_date(li: DataFrame) -> F.Column:
     return F.col("l_shipdate").cast("date")
 
 
-def purchases(spark: SparkSession, sf_dir: str, *, string_dates: bool = True) -> DataFrame:
-    """Raw purchases (``string_dates=True``: 'yyyyMMdd' strings, as the raw table stores them)."""
+def purchases(spark: SparkSession, sf_dir: str, *, string_dates: bool = True, spread_scan: bool = False) -> DataFrame:
+    """Raw purchases (``string_dates=True``: 'yyyyMMdd' strings, as the raw table stores them).
+
+    The test tables have nothing to derive ``recid`` and ``continuo`` from: both are NULL.
+    """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_shipdate",
     )
-    li = _spread(spark, li, "l_orderkey")
+    if spread_scan:
+        li = spread(spark, li, "l_orderkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     d = _ship_date(li)
@@ -99,6 +100,7 @@ def purchases(spark: SparkSession, sf_dir: str, *, string_dates: bool = True) ->
         .select(
             F.col("o_custkey").alias("hhkey"),
             F.col("l_orderkey").alias("occaskey"),
+            F.lit(None).cast("long").alias("recid"),
             F.col("p_brand").alias("brand"),
             (F.date_format(d, "yyyyMMdd") if string_dates else d).alias("datep"),
             F.col("l_extendedprice").alias("value"),
@@ -106,6 +108,7 @@ def purchases(spark: SparkSession, sf_dir: str, *, string_dates: bool = True) ->
             (F.lit(1.0) + F.col("l_tax")).alias("rwkorr"),
             (F.col("l_quantity") / F.lit(25)).alias("rwstd"),
             F.expr("CAST(0.8 + 0.1 * l_linenumber AS DOUBLE)").alias("fullmasW"),
+            F.lit(None).cast("double").alias("continuo"),
         )
     )
 
@@ -138,10 +141,10 @@ def brand_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def panel(spark: SparkSession, sf_dir: str, *, string_dates: bool = True):
+def panel(spark: SparkSession, sf_dir: str, *, string_dates: bool = True, spread_scan: bool = False):
     """(purchases, households, brand map, periods) for one scale factor directory."""
     return (
-        purchases(spark, sf_dir, string_dates=string_dates),
+        purchases(spark, sf_dir, string_dates=string_dates, spread_scan=spread_scan),
         households(spark, sf_dir),
         brand_map(spark, sf_dir),
         ADAPTER_PERIODS,

@@ -3,8 +3,12 @@
 The file sink keeps a commit log next to the data (``_spark_metadata``), so
 each input file is written exactly once even when the query restarts after a
 failure; readers of the store only see committed files. The query's own
-progress lives in ``checkpoint_location`` (by default under the session's
-``spark.checkpoint.dir``).
+progress lives in ``checkpoint_location``, by default the folder next to the
+store named like it with ``.checkpoint`` added: a second call for the same store
+goes on where the first stopped. The two belong together, since the sink knows
+its batches by the numbers that the progress folder gives them. Each trigger
+adds files of its own, unsorted; rewrite the store with ``write_purchase_store``
+now and then to cluster and compact it.
 """
 
 from __future__ import annotations
@@ -13,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..sources.schemas import RAW_PURCHASES
-from ..sources.stores import _typed_dates, scratch_path, weighted_purchases, with_partition_column
+from ..sources.stores import _typed_dates, weighted_purchases, with_partition_column
 
 
 def start_store_stream(
@@ -43,7 +47,7 @@ def start_store_stream(
     writer = (
         rows.writeStream.format("parquet")
         .partitionBy(part)
-        .option("checkpointLocation", checkpoint_location or scratch_path(spark, "store-stream"))
+        .option("checkpointLocation", checkpoint_location or f"{store_path.rstrip('/')}.checkpoint")
         .outputMode("append")
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

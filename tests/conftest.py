@@ -11,10 +11,12 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
+    scratch = tempfile.mkdtemp(prefix="brandflow-tests-")
     s = (
         SparkSession.builder.master("local[4]")
         .appName("brandflow-tests")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.checkpoint.dir", scratch)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
@@ -22,8 +24,4 @@ def spark():
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
-    if not (s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getCheckpointDir()):
-        d = tempfile.mkdtemp(prefix="brandflow-tests-")
-        s.sparkContext.setCheckpointDir(d)
-        s.conf.set("spark.checkpoint.dir", d)
     yield s

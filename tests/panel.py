@@ -18,7 +18,7 @@ def purchases_df(spark, specs, weights=(1.0, 1.0, 1.0, 1.0)):
     for i, spec in enumerate(specs):
         hh, brand, datep, value = spec.split(":")
         rows.append(
-            (int(hh), i, None if brand == "NULL" else brand, None if datep == "NULL" else datep, _num(value), *weights)
+            (int(hh), i, 7 * i, None if brand == "NULL" else brand, None if datep == "NULL" else datep, _num(value), *weights, 0.5)
         )
     return spark.createDataFrame(rows, RAW_PURCHASES)
 

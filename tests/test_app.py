@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from brandflow import app
 from brandflow.plans import gain_loss
 from brandflow.sources import tpch, write_brand_map
@@ -28,6 +30,19 @@ def test_app_runs_each_source_kind(spark):
     assert nonzero == {(r[0], r[1]): (r[2], r[3]) for r in want if (r[2], r[3]) != (0.0, 0.0)}
 
 
+def test_one_period_alone_is_an_error():
+    for lone in (["--p1", "1996-01-01", "1996-12-31"], ["--p2", "1997-01-01", "1997-12-31"]):
+        with pytest.raises(SystemExit):
+            app.parse_args(lone)
+
+
+def test_every_cell_is_printed(spark, capsys, monkeypatch):
+    cells = spark.range(20_000).selectExpr("id AS B1", "id AS B2")
+    monkeypatch.setattr(app, "run", lambda *a: cells)
+    app.main([])
+    assert len(capsys.readouterr().out.splitlines()) == 20_001
+
+
 def test_default_periods_are_the_reference_years():
     args = app.parse_args([])
     assert args.p1 is None and args.variant == "v6"

@@ -98,7 +98,7 @@ household = st.tuples(st.integers(1, 4), st.sampled_from([0.0, 0.5, 1.0, 1.75]))
 @given(st.lists(purchase, min_size=1, max_size=14), st.lists(household, min_size=1, max_size=6))
 def test_v6_matches_brute_force(spark, purchases, households):
     p = spark.createDataFrame(
-        [(h, i, b, d, v, bf, rk, rs, fm) for i, (h, b, d, v, bf, rk, rs, fm) in enumerate(purchases)], RAW_PURCHASES
+        [(h, i, None, b, d, v, bf, rk, rs, fm, None) for i, (h, b, d, v, bf, rk, rs, fm) in enumerate(purchases)], RAW_PURCHASES
     )
     hh = spark.createDataFrame([(h, c) for h, c in households], HOUSEHOLDS)
     bm = brand_map_from_rows(spark, MAP)

@@ -10,6 +10,17 @@ from brandflow.streaming import start_store_stream
 SF = "/root/testdata/sf0.001"
 
 
+def test_new_files_with_default_settings(spark):
+    p = tpch.purchases(spark, SF)
+    src, store = scratch_path(spark, "drops"), scratch_path(spark, "default-store")
+    for k in range(3):
+        p.where(F.pmod(F.col("occaskey"), F.lit(3)) == k).write.parquet(f"{src}/drop={k}")
+        start_store_stream(spark, f"{src}/*", store).awaitTermination()
+        assert read_purchase_store(spark, store).count() == p.where(F.pmod(F.col("occaskey"), F.lit(3)) <= k).count()
+    cols = ["hhkey", "occaskey", "brand", "value"]
+    assert read_purchase_store(spark, store).select(cols).exceptAll(p.select(cols)).count() == 0
+
+
 def test_stream_into_stores_matches_batch(spark):
     p, hh, bm, per = tpch.panel(spark, SF, string_dates=True)
     src = scratch_path(spark, "stream-src")
