@@ -120,20 +120,33 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     order = [F.col("doc_id").desc_nulls_last(), F.col("key").asc()]
     chain = written(successors(ids, order, ["key"], wrap=True), "chain")
 
-    # the next text gives the tail of the edit and its own fingerprint; both go to the row before it
+    # the next text gives the tail of the edit to the row before it
     following = texts.select(F.col("key").alias("next_key"), F.col("text").alias("next_text"))
-    given = chain.join(following, "next_key").withColumn("tail", F.expr("left(next_text, cast(n_chars div 3 as int))"))
-    given = with_bins(given, "next_text", "next_bins").select("key", "doc_id", "n_chars", "tail", packed(F.col("next_bins")).alias("next_print"))
+    given = chain.join(following, "next_key").select("key", "doc_id", "n_chars", F.expr("left(next_text, cast(n_chars div 3 as int))").alias("tail"))
     given = given.dropDuplicates(["key"])  # the next row may be there several times
-
     edited = texts.join(given, "key").withColumn("edited", F.expr("concat(left(text, cast(n_chars - n_chars div 3 as int)), tail)"))
-    out = with_bins(with_bins(edited, "text", "own_bins"), "edited", "edited_bins")
+    binned = with_bins(with_bins(edited, "text", "own_bins"), "edited", "edited_bins")
+    prints = written(
+        binned.select(
+            "key",
+            "doc_id",
+            "n_chars",
+            F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+            F.unhex(packed(F.col("own_bins"))).alias("own"),
+            F.unhex(packed(F.col("edited_bins"))).alias("edited"),
+            likeness(F.col("own_bins"), F.col("edited_bins")).alias("near_edited"),
+        ),
+        "prints",
+    )
+    # the next text's fingerprint is known by now: only fingerprints move
+    after = prints.select(F.col("key").alias("next_key"), F.lower(F.hex("own")).alias("next_print")).dropDuplicates(["next_key"])
+    out = prints.join(chain.select("key", "next_key"), "key").join(after, "next_key").withColumn("fingerprint", F.lower(F.hex("own")))
     return out.select(
         "doc_id",
         "n_chars",
-        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        packed(F.col("own_bins")).alias("fingerprint"),
-        packed(F.col("edited_bins")).alias("edited_fingerprint"),
-        likeness(F.col("own_bins"), F.col("edited_bins")).alias("near_edited"),
-        likeness(unpacked(packed(F.col("own_bins"))), unpacked(F.col("next_print"))).alias("near_next"),
+        "edited_sha256",
+        "fingerprint",
+        F.lower(F.hex("edited")).alias("edited_fingerprint"),
+        "near_edited",
+        likeness(unpacked(F.col("fingerprint")), unpacked(F.col("next_print"))).alias("near_next"),
     )
