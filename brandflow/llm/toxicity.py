@@ -13,7 +13,8 @@ explaining the labels: candidates are words significantly commoner in toxic
 documents; they are taken greedily, each counted on the toxic documents not yet
 explained by others, which drops words that merely ride along in copies of a
 toxic document. Words of clean documents are the counter-examples: a hash sample
-and, in a second round, those that the first SVM rates highest. A sentence's
+and, in a second round, those that the first SVM rates highest. A word with marks in
+it is also read without them. A sentence's
 value is that of its worst word. A logistic curve over the document's worst
 sentence, its number of toxic words and their density gives the score.
 
@@ -31,6 +32,7 @@ from __future__ import annotations
 
 import math
 import re
+import string
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -47,10 +49,16 @@ from .scratch import written
 LENGTH, DECAY = 3, 0.6
 #: Longest word compared in one piece; a longer one is cut into overlapping pieces of this length.
 PIECE = 20
-LANDMARKS = 48
-CACHE = 200_000
-
-_EDGE = re.compile(r"^[\W_]+|[\W_]+$")
+#: Landmarks from toxic words, from clean words like them, and from other clean words.
+LANDMARKS = (48, 16, 8)
+#: SVM value above which a word counts as toxic in a document's features; 1 is the margin.
+SURE = 0.4
+#: Weight of a margin violation against the norm of the weights.
+COST = 100.0
+CACHE = 400_000
+
+#: Stripped from the ends of words.
+_MARKS = string.punctuation + "\u00a1\u00bf\u00ab\u00bb\u2018\u2019\u201a\u201c\u201d\u201e\u2013\u2014\u2026\u00b7\u2022"
 _SENTENCE = re.compile(r"[.!?\n]+(?:\s+|$)")
 
 
@@ -58,7 +66,7 @@ def sentence_words(sentence: str) -> list[str]:
     """Words of a sentence, lower case, without marks at their ends; runs of single characters make one word."""
     out, single = [], []
     for raw in sentence.lower().split():
-        w = _EDGE.sub("", raw)
+        w = raw.strip(_MARKS)
         if len(w) == 1:
             single.append(w)
             continue
@@ -73,10 +81,12 @@ def sentence_words(sentence: str) -> list[str]:
 
 
 def pieces(word: str) -> list[str]:
+    """The parts of a word that are compared: the whole, or overlapping pieces of it; with and without marks in it."""
+    bare = word if word.isalnum() else "".join(c for c in word if c.isalnum())
     if len(word) <= PIECE:
-        return [word]
+        return [word] if bare == word or not bare else [word, bare[:PIECE]]
     step = PIECE // 2
-    return [word[k : k + PIECE] for k in range(0, len(word) - step, step)]
+    return [w[k : k + PIECE] for w in dict.fromkeys((word, bare)) for k in range(0, max(1, len(w) - step), step) if w]
 
 
 def _codes(words: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -95,31 +105,46 @@ def raw_kernel(left: list[str], right: list[str]) -> np.ndarray:
     for k, w in enumerate(left):
         by_length.setdefault(len(w), []).append(k)
     for n, rows in by_length.items():
-        for a in range(0, len(rows), 1024):
-            part = rows[a : a + 1024]
+        for a in range(0, len(rows), 512):
+            part = rows[a : a + 512]
             s, _ = _codes([left[k] for k in part], max(n, 1))
             out[part] = _kernel_block(s[:, :n], t)
     return out
 
 
 def _kernel_block(s: np.ndarray, t: np.ndarray) -> np.ndarray:
-    """Dynamic programme over the characters of both words, for all pairs at once (positions x lefts x rights)."""
+    """Dynamic programme over the characters of both words, for all pairs at once.
+
+    A common subsequence weighs DECAY to the power of the lengths it spans in both
+    words, so only its first and last characters matter: the decay of the first
+    goes in with ``DECAY ** -(i + j)``, that of the last at the end, and in between
+    there are plain sums over what lies before in both words.
+    """
     n, m = s.shape[1], t.shape[1]
     shape = (len(s), len(t))
-    decay, square = np.float32(DECAY), np.float32(DECAY * DECAY)
     total = np.zeros(shape, np.float32)
-    # table[l][j]: weight of common subsequences of l characters that end before here, gaps up to here counted
-    table = [[np.ones(shape, np.float32)] * (m + 1)] + [[np.zeros(shape, np.float32) for _ in range(m + 1)] for _ in range(LENGTH - 1)]
+    if n < LENGTH:
+        return total
+    before = [[np.zeros(shape, np.float32) for _ in range(m)] for _ in range(LENGTH - 1)]
+    run = [np.zeros(shape, np.float32) for _ in range(LENGTH - 1)]
+    part = np.empty(shape, np.float32)
     for i in range(n):
-        equal = [(s[:, i, None] == t[None, :, j]).astype(np.float32) for j in range(m)]
+        for r in run:
+            r.fill(0)
         for j in range(m):
-            total += square * equal[j] * table[LENGTH - 1][j]
-        for level in range(LENGTH - 1, 0, -1):  # from the longest, so that the level below is still that of i - 1
-            here = np.zeros(shape, np.float32)
-            row, below = table[level], table[level - 1]
-            for j in range(1, m + 1):
-                here = here * decay + square * equal[j - 1] * below[j - 1]
-                row[j] = row[j] * decay + here
+            equal = (s[:, i, None] == t[None, :, j]).astype(np.float32)
+            depth = min(i, j, LENGTH - 1)  # characters that can lie before in both
+            if depth == LENGTH - 1:
+                np.multiply(equal, before[-1][j], out=part)
+                part *= np.float32(DECAY ** (i + j + 2))
+                total += part
+            for level in range(min(depth, LENGTH - 2), 0, -1):
+                np.multiply(equal, before[level - 1][j], out=part)
+                before[level][j] += run[level]
+                run[level] += part
+            before[0][j] += run[0]
+            equal *= np.float32(DECAY ** -(i + j))
+            run[0] += equal
     return total
 
 
@@ -180,18 +205,20 @@ class ToxicityModel:
 
     def features(self, texts: list[str | None]) -> np.ndarray:
         """Worst sentence, number of toxic words (log), their share, of each text."""
-        docs = [[sentence_words(s) for s in _SENTENCE.split(t or "")] for t in texts]
+        docs = [[sentence_words(s) for s in _SENTENCE.split(t)] if t else [] for t in texts]
+        value = self.lookup({w for d in docs for s in d for w in s})
         out = np.zeros((len(texts), 3))
-        for d, sentences in enumerate(docs):
-            value = self.lookup({w for s in sentences for w in s})
+        for k, sentences in enumerate(docs):
             worst, toxic, n = -1.0, 0, 0
             for s in sentences:
                 vs = [value[w] for w in s]
-                n += len(vs)
                 if vs:
-                    worst = max(worst, max(vs))
-                    toxic += sum(v > 0 for v in vs)
-            out[d] = max(-1.0, min(worst, 1.5)), math.log1p(toxic), toxic / max(n, 1)
+                    n += len(vs)
+                    high = max(vs)
+                    worst = max(worst, high)
+                    if high > SURE:
+                        toxic += sum(v > SURE for v in vs)
+            out[k] = max(-1.0, min(worst, 1.5)), math.log1p(toxic), toxic / max(n, 1)
         return out
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
@@ -249,7 +276,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train_docs: int = 12000) ->
     sample = [r["word"] for r in plain.orderBy(F.xxhash64("word"), "word").limit(1500).collect()]
     common = [r["word"] for r in plain.orderBy(F.col("n").desc(), "word").limit(300).collect()]
     clean = sorted(set(sample) | set(common))
-    model = _svm(toxic_words, clean)
+    model = _svm(toxic_words, [], clean)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def rated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,13 +286,14 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train_docs: int = 12000) ->
 
     hard = plain.select("word", "n").mapInArrow(rated, "word string, n long, value double")
     hard = hard.where("value > -0.6").orderBy(F.col("value").desc(), "word").limit(800).collect()
-    model = _svm(toxic_words, sorted({*clean, *[r["word"] for r in hard]}))
+    model = _svm(toxic_words, [r["word"] for r in hard], clean)
 
     shared_final = docs.sparkSession.sparkContext.broadcast(model)
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = shared_final.value.features(batch.column("text").to_pylist())
+            texts = batch.column("text")
+            x = np.concatenate([shared_final.value.features(texts[a : a + 500].to_pylist()) for a in range(0, len(texts), 500)])
             yield pa.RecordBatch.from_pydict({"toxic": batch.column("toxic"), **{f"x{k}": pa.array(x[:, k]) for k in range(3)}})
 
     x = train.select("toxic", "text").mapInArrow(featured, "toxic int, x0 double, x1 double, x2 double").toPandas().sort_values(["toxic", "x0", "x1", "x2"])
@@ -292,12 +320,14 @@ def _explaining(found: dict[str, set[int]], info: dict, times: int = 3) -> list[
     return out
 
 
-def _svm(toxic: list[tuple[str, float]], clean: list[str]) -> ToxicityModel:
+def _svm(toxic: list[tuple[str, float]], hard: list[str], clean: list[str]) -> ToxicityModel:
     """Landmarks, Nystrom map and a linear SVM with squared hinge loss, by Newton steps."""
     bad = [w[:PIECE] for w, _ in toxic]
     taken = {w for w, _ in toxic}
-    clean = [w[:PIECE] for w in clean if w not in taken and len(w) >= 2]
-    landmarks = _spread(bad, LANDMARKS * 2 // 3) + _spread(clean[:: max(1, len(clean) // 400)], LANDMARKS // 3)
+    hard = [w[:PIECE] for w in hard if w not in taken]
+    clean = [w[:PIECE] for w in clean if w not in taken and w not in hard and len(w) >= 2]
+    landmarks = _spread(bad, LANDMARKS[0]) + _spread(hard, LANDMARKS[1]) + _spread(clean[:: max(1, len(clean) // 400)], LANDMARKS[2])
+    clean = hard + clean
     norms = self_kernel(landmarks)
 
     def vectors(words: list[str]) -> np.ndarray:
@@ -310,7 +340,7 @@ def _svm(toxic: list[tuple[str, float]], clean: list[str]) -> ToxicityModel:
     words = bad + clean
     x = np.hstack([vectors(words) @ root, np.ones((len(words), 1))])
     y = np.r_[np.ones(len(bad)), -np.ones(len(clean))]
-    c = np.r_[np.full(len(bad), 10.0 * max(1.0, len(clean) / (10 * len(bad)))), np.full(len(clean), 10.0)]
+    c = np.r_[np.full(len(bad), COST * max(1.0, len(clean) / (10 * len(bad)))), np.full(len(clean), COST)]
     w = np.zeros(x.shape[1])
     ridge = np.eye(len(w))
     ridge[-1, -1] = 1e-3
