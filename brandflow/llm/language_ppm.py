@@ -143,7 +143,7 @@ def _train_sample(docs: DataFrame, train_docs: int) -> DataFrame:
     return rows.where(F.pmod(F.xxhash64(F.col("doc_id")), F.lit(SAMPLE_GRAIN)) < rate).select("lang", "text")
 
 
-def fit_language_model(docs: DataFrame, max_order: int = 3, train_docs: int = 1000) -> LanguageModel | None:
+def fit_language_model(docs: DataFrame, max_order: int = 3, train_docs: int = 500) -> LanguageModel | None:
     """Learn the trees from ``docs`` (doc_id, text, lang), without its held-out rows. None if there is nothing to learn from.
 
     What reaches the driver are the contexts of the bounded sample, at most
@@ -160,9 +160,9 @@ def fit_language_model(docs: DataFrame, max_order: int = 3, train_docs: int = 10
         sample.mapInArrow(_context_counts(symbol, width, max_order), "lang string, depth int, gram long, n long")
         .groupBy("lang", "depth", "gram")
         .agg(F.sum("n").alias("n"))
-        .toPandas()
+        .toArrow()
     )
-    return None if counts.empty else _automaton(counts, symbol, width, max_order)
+    return None if not counts.num_rows else _automaton(counts, symbol, width, max_order)
 
 
 def _symbols(sample: DataFrame) -> tuple[np.ndarray, int] | None:
@@ -181,9 +181,10 @@ def _symbols(sample: DataFrame) -> tuple[np.ndarray, int] | None:
     return symbol, len(common) + 2
 
 
-def _automaton(counts: pd.DataFrame, symbol: np.ndarray, width: int, max_order: int) -> LanguageModel:
-    langs = sorted(counts["lang"].unique())
-    lang = np.searchsorted(np.array(langs, dtype=object), counts["lang"].to_numpy())
+def _automaton(counts: pa.Table, symbol: np.ndarray, width: int, max_order: int) -> LanguageModel:
+    named = counts["lang"].combine_chunks().dictionary_encode()
+    langs = sorted(named.dictionary.to_pylist())
+    lang = np.array([langs.index(x) for x in named.dictionary.to_pylist()])[named.indices.to_numpy()]
     depth, gram, n = (counts[c].to_numpy() for c in ("depth", "gram", "n"))
     context, nxt = gram // width, gram % width
 
@@ -213,20 +214,24 @@ def _automaton(counts: pd.DataFrame, symbol: np.ndarray, width: int, max_order:
             at = place(j, (ending % width**j).ravel()).reshape(size, width)
             best = np.where(best < 0, at, best)
         step[base[k] : base[k] + size] = best.clip(0)
-        if k:
-            lower = cost[shorter]
-        else:
-            lower = np.full((1, width, len(langs)), 8.0, np.float32)
-            lower[:, width - 1] -= np.log2(others)
-        seen = np.zeros((size, width, len(langs)))
-        rows = depth == k
+        rows = np.flatnonzero(depth == k)
         at = np.searchsorted(known[k], context[rows])
-        seen[at, nxt[rows], lang[rows]] = n[rows]
-        whole, kinds = seen.sum(axis=1, keepdims=True), (seen > 0).sum(axis=1, keepdims=True)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            own = -np.log2(seen / (whole + kinds))
-            escape = -np.log2(kinds / (whole + kinds))
-        cost[base[k] : base[k] + size] = np.where(seen > 0, own, np.where(whole > 0, escape, 0.0) + lower)
+        rows, at = rows[np.argsort(at, kind="stable")], np.sort(at, kind="stable")
+        for low in range(0, size, 1024):  # so many contexts at once, to bound the memory
+            high = min(size, low + 1024)
+            if k:
+                lower = cost[shorter[low:high]]
+            else:
+                lower = np.full((1, width, len(langs)), 8.0, np.float32)
+                lower[:, width - 1] -= np.log2(others)
+            seen = np.zeros((high - low, width, len(langs)), np.float32)
+            own = slice(*np.searchsorted(at, (low, high)))
+            seen[at[own] - low, nxt[rows[own]], lang[rows[own]]] = n[rows[own]]
+            whole, kinds = seen.sum(axis=1, keepdims=True), (seen > 0).sum(axis=1, keepdims=True)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                coded = -np.log2(seen / (whole + kinds))
+                escape = -np.log2(kinds / (whole + kinds))
+            cost[base[k] + low : base[k] + high] = np.where(seen > 0, coded, np.where(whole > 0, escape, 0.0) + lower)
     cost[:, width - 1] += np.log2(others)  # which of the other bytes it is
     start = int(place(1, np.zeros(1, np.int64))[0])
     return LanguageModel(langs, symbol, step, cost, max(start, 0), max_order)

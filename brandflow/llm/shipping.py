@@ -11,9 +11,16 @@ from pyspark.sql import SparkSession
 _DONE: set[str] = set()
 
 
+#: Rows of an Arrow batch. Texts are long; Spark's default of 10 000 would hold hundreds of MB of them in a worker.
+BATCH_ROWS = "1000"
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Add a zip of the package to the application, once."""
+    """Add a zip of the package to the application, once, and bound the Arrow batches unless the session says how."""
     sc = spark.sparkContext
+    if sc.getConf().get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, BATCH_ROWS)
     if sc.applicationId in _DONE:
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
