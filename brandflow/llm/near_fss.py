@@ -23,8 +23,9 @@ missed with probability 3e-6, one at 0.9 with less than 1e-12.
 
 Defined results: null or empty text, or one without words, has an empty set and
 is linked with nothing; fewer words than a shingle make one shingle of the
-whole sequence. Rows that repeat a doc_id are judged by their own text and
-share the component. A null doc_id takes no part in choosing the smallest; a
+whole sequence. Rows that repeat a doc_id are judged by their own text; with
+texts that aren't linked they are in components of their own, which may have the
+same component_id. A null doc_id takes no part in choosing the smallest; a
 component without any other has component_id null, and all its rows are kept.
 """
 
@@ -136,7 +137,11 @@ def _sets(words: int):
 
 
 def judged_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, text_hash, n_shingles, component_id: one row for each row of ``docs`` (doc_id, text)."""
+    """doc_id, text_hash, n_shingles, label, component_id: one row for each row of ``docs`` (doc_id, text).
+
+    ``label`` is one for each component (null without words); components of rows that
+    repeat a doc_id may share their component_id.
+    """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("text_hash", F.xxhash64("text"))
     schema = "doc_id long, text_hash long, n_shingles long, fp_low long, fp_high long, bands array<long>"
     rows = written(texts.mapInArrow(_sketched(words), schema), "sketches")
@@ -172,9 +177,9 @@ def judged_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
     found = classes.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("label", F.coalesce("label", "class"))
     least = found.groupBy("label").agg(F.min("smallest").alias("component_id"))
-    named = found.join(least, "label").select("fp_low", "fp_high", "n_shingles", "component_id")
+    named = found.join(least, "label").select("fp_low", "fp_high", "n_shingles", "label", "component_id")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return rows.drop("bands").join(named, ["fp_low", "fp_high", "n_shingles"], "left").select("doc_id", "text_hash", "n_shingles", component.alias("component_id"))
+    return rows.drop("bands").join(named, ["fp_low", "fp_high", "n_shingles"], "left").select("doc_id", "text_hash", "n_shingles", "label", component.alias("component_id"))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -197,9 +202,9 @@ def without_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80)
     free = rows.where(alone).select("doc_id", "text_hash").distinct().withColumn("times", F.lit(1))
     first = (
         rows.where(~alone & (F.col("doc_id") == F.col("component_id")))
-        .groupBy("doc_id")
-        .agg(F.min("text_hash").alias("least"), F.count(F.struct("doc_id")).alias("times"))
-        .select("doc_id", F.col("least").alias("text_hash"), "times")
+        .groupBy("label")
+        .agg(F.min(F.struct("doc_id", "text_hash")).alias("least"), F.count(F.lit(1)).alias("times"))
+        .select("least.doc_id", "least.text_hash", "times")
     )
     stay = written(free.unionByName(first.select("doc_id", "text_hash", F.col("times").cast("int"))), "kept")
     d, s = docs.alias("d"), stay.alias("s")

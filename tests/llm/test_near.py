@@ -76,6 +76,17 @@ def test_filter_keeps_one_of_each(odd):
     assert len(kept) == 8 or len(kept) == 9
 
 
+def test_filter_keeps_components_that_share_their_smallest_doc_id(spark, odd):
+    out = near_fss.without_near_duplicates(odd, 5).collect()
+    assert len(out) == 9 and {r["text"] for r in out if r["doc_id"] == 7} == {"otro texto", "un autre texte"}
+    a, b = (" ".join(f"{x}{k}" for k in range(100)) for x in "ab")
+    for x, y in ((a, b), (b, a)):  # either order of the hashes of the two texts
+        docs = spark.createDataFrame([(1, x), (1, y), (2, y + " end"), (3, y)], "doc_id long, text string")
+        assert sorted((r["doc_id"], r["text"]) for r in near_fss.without_near_duplicates(docs, 5).collect()) == [(1, a), (1, b)]
+        judged = near_fss.near_duplicates(docs, 5).where("kept").collect()
+        assert [r["doc_id"] for r in judged] == [1, 1]  # as many as the query marks
+
+
 def test_empty(empty):
     assert near_fss.near_duplicates(empty).collect() == []
     assert near_fss.without_near_duplicates(empty).collect() == []
