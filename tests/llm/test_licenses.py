@@ -52,3 +52,27 @@ def test_screening_loses_nothing(docs):
 def test_odd_rows(odd):
     files = odd.selectExpr("doc_id AS file_id", "concat('d/', doc_id) AS path", "text", "lang", "label")
     assert license_scan.licences(files, license_scan.fit_matcher(files)).count() == odd.count()
+
+
+def test_texts_headers_tags_and_several_licences(spark):
+    texts = license_scan.licence_texts()
+    header = "\n".join(f" * {line}" for line in texts["Apache-2.0.header"].split("\n"))
+    gnu = "\n".join(f"# {line}" for line in texts["GPL-3.0.header"].split("\n"))
+    rows = [
+        (1, "p/LICENSE", "MIT License\n\nCopyright (c) 2020 Some Body\n\n" + texts["MIT"].split("\n", 1)[1]),
+        (2, "p/a/x.py", "code = 1"),
+        (3, "q/x.c", f"/*\n * Copyright 2020 Some Body\n{header}\n */\n" + "\n".join(f"int variable{k} = {k};" for k in range(300))),
+        (4, "q/y.py", "import one\n# Licensed under the Apache License,\n# Version 2.0.\nimport two"),
+        (5, "q/z.py", f"#!/bin/python\n{gnu}\nimport one"),
+        (6, "q/w.rs", "fn one()\n// SPDX-License-Identifier: (MIT OR Apache-2.0) AND GPL-2.0-only WITH Classpath-exception-2.0\n"),
+        (7, "q/v.py", "Released under the MIT License.\ncode\nThis work is licensed under the GNU General Public License, version 3."),
+        *((10 + k, f"t{k}/COPYING", t) for k, t in enumerate(texts.values())),
+    ]
+    files = spark.createDataFrame(rows, "file_id long, path string, text string")
+    got = {r["file_id"]: r for r in license_scan.licences(files, license_scan.fit_matcher(files)).collect()}
+    assert got[1]["licence"] == "MIT" and (got[2]["licence"], got[2]["inherited_from"]) == ("MIT", "p")
+    assert (got[3]["licence"], got[4]["licence"], got[4]["line"], got[5]["licence"]) == ("Apache-2.0", "Apache-2.0", 1, "GPL-3.0")
+    assert {(x["licence"], x["line"]) for x in got[6]["licences"]} == {("MIT", 1), ("Apache-2.0", 1), ("GPL-2.0-only", 1)}
+    assert {(x["licence"], x["line"]) for x in got[7]["licences"]} >= {("MIT", 0), ("GPL-3.0", 2)}
+    for k, name in enumerate(texts):
+        assert got[10 + k]["licence"] == name.removesuffix(".header")
