@@ -8,12 +8,18 @@ articles don't. Shared lines are deleted.
 
 Markup says more than a neighbour where it is explicit. Elements for menus,
 headers, footers, sidebars, forms, scripts and the like, and elements whose class,
-id or role names such a part, adverts, notices or comments, are left out whether
-shared or not. If a page marks its article (``article``, ``main``, or a container
-named as content), only that is kept, and a line in it counts as shared
-boilerplate only if it consists of links: two articles may quote the same passage,
-and a page that repeats its neighbour's article would else lose all of it. For
-the same reason a neighbour that shares nearly all unmarked text proves nothing.
+id or role names such a part, adverts or comments, are left out whether shared or
+not. Each class and id is read by itself: one like ``no-sidebar`` names nothing, an
+element that one names as content stays whatever the others say, and ids of
+headings and sections, which are often made from their titles, name nothing. Words
+that articles use too (``discussion``, ``related``, ``notice``) prove nothing alone; the
+lines under them go only if they are shared. If a page marks its article (``article``,
+``main``, or a container named as content), only that is kept, and a line in it counts
+as shared boilerplate only if it consists of links or lies under such a word: two
+articles may quote the same passage, and a page that repeats its neighbour's article
+would else lose all of it. For the same reason a neighbour that shares nearly all
+unmarked text proves nothing. What is deleted are the aligned lines themselves, not
+others of the same text.
 
 Defined results: null html is an empty page, text "". Pages with a null url form
 the host "". Rows are compared by url and html, so rows that repeat both are one
@@ -27,6 +33,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -54,32 +61,64 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _OUT = frozenset("head nav header footer aside form button select option dialog menu object audio video canvas map".split())
 _BLOCK_ENDS = frozenset("p li dt dd td th tr option".split())
 _CHROME = frozenset(
-    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion promoted banner sidebar sidebars widget widgets menu menus nav navbar navigation "
-    "breadcrumb breadcrumbs header masthead topbar footer bottombar cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup "
-    "signin login comment comments commentlist reply replies respond disqus discussion share sharing social related recommended recommendations toc pagination pager skip search form complementary contentinfo dialog".split()
+    "ad ads adv advert adverts advertisement advertisements sponsor sponsored promo banner sidebar sidebars widget widgets menu menus nav navbar navigation "
+    "breadcrumb breadcrumbs masthead topbar footer bottombar cookie cookies consent gdpr popup modal overlay newsletter subscribe signup "
+    "signin login comment comments commentlist reply replies respond disqus pagination pager complementary contentinfo dialog".split()
 )
+#: Words that name such a part too, but also a part of an article; two words of either set in one class or id are clear.
+_UNCLEAR = frozenset(
+    "header notice notices notification alert discussion share sharing social related recommended recommendations toc skip search form "
+    "advertising promotion promoted subscription".split()
+)
+_ROLES = frozenset("banner navigation complementary contentinfo search form dialog alertdialog alert menu menubar toolbar".split())
+_MODIFIERS = frozenset("no not non without with has have hide hidden is".split())
+_TITLED = frozenset("h1 h2 h3 h4 h5 h6 section".split())
 _CONTENT = frozenset("content article post entry story main maincontent articlebody postbody bodytext".split())
 _ARTICLE, _MAIN, _NAMED = 4, 2, 1
 
 
-def _names(attrs: str) -> tuple[set[str], bool]:
-    """Words of class, id and role, and whether the element is hidden."""
-    found, hidden = set(), False
+@lru_cache(maxsize=4096)
+def _named(name: str, attrs: str) -> tuple[bool, bool, bool, bool, bool]:
+    """What class, id and role say of an element: left out, perhaps left out, content, main part, hidden."""
+    out = perhaps = content = pure = main = hidden = False
     for m in _ATTR.finditer(attrs):
         key, value = m.group(1).lower(), m.group(2) or m.group(3) or m.group(4) or ""
         if key in ("hidden", "aria-hidden"):
             hidden |= key == "hidden" or value == "true"
-        else:
-            found.update(w for w in _SPLIT.split(value.lower()) if w)
-    return found, hidden
+            continue
+        for token in value.lower().split():
+            words = [w for w in _SPLIT.split(token) if w]
+            if not words or words[0] in _MODIFIERS:
+                continue
+            main |= "main" in words and "role" in attrs
+            if key == "role":
+                out |= token in _ROLES
+                content |= token in _CONTENT
+                continue
+            clear, unclear = sum(w in _CHROME for w in words), sum(w in _UNCLEAR for w in words)
+            if clear or unclear:
+                if key == "id" and name in _TITLED:
+                    continue
+                out |= clear > 0 or unclear > 1
+                perhaps |= unclear == 1
+            elif any(w in _CONTENT for w in words):
+                content = True
+                pure |= all(w in _CONTENT for w in words)
+    if pure or name in ("html", "body") or name in ("article", "main") and content:
+        out = perhaps = False
+    return out, perhaps, content, main, hidden
 
 
 def page_lines(page: str) -> list[tuple[str, int, bool]]:
-    """(text, container, only links) of the blocks of a page that markup doesn't rule out."""
+    """(text, container, in doubt) of the blocks of a page that markup doesn't rule out.
+
+    In doubt is a block of links only, and one in an element that may be no part of an article.
+    """
     lines: list[tuple[str, int, bool]] = []
     buffer: list[str] = []
     linked = plain = 0  # characters in and outside of links
     skip, depth = "", 0  # the element that is left out, and how many of its name are open
+    doubt, doubts = "", 0  # the outermost element in doubt, and how many of its name are open
     containers: list[list] = []  # [name, kind, open elements of that name]
     kind = links = 0
 
@@ -88,7 +127,7 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
         if buffer:
             text = " ".join(html.unescape("".join(buffer)).split())
             if text:
-                lines.append((text, kind, plain == 0))
+                lines.append((text, kind, plain == 0 or doubt != ""))
             buffer.clear()
         linked = plain = 0
 
@@ -125,6 +164,10 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
             links = 0 if closing else 1
         if name not in _INLINE:
             flush()
+        if doubt and name == doubt:
+            doubts = doubts - 1 if closing else 1 if name in _BLOCK_ENDS else doubts + 1
+            if doubts == 0 or not closing and name in _BLOCK_ENDS:
+                doubt = ""
         if closing:
             for k in range(len(containers) - 1, -1, -1):
                 if containers[k][0] == name:
@@ -137,16 +180,16 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
         if name in _VOID:
             continue
         attrs = m.group("attrs") or ""
-        names, hidden = _names(attrs) if attrs else (set(), False)
-        content = bool(names & _CONTENT)
-        chrome = bool(names & _CHROME) and not (content and name in ("article", "main")) and name not in ("html", "body")
-        if name in _OUT or hidden or chrome:
+        out, perhaps, content, role_main, hidden = _named(name, attrs) if attrs else (False, False, False, False, False)
+        if name in _OUT or hidden or out:
             flush()
             skip, depth = name, 1
             continue
+        if perhaps and not doubt and name not in _INLINE:
+            doubt, doubts = name, 1
         if containers and containers[-1][0] == name:
             containers[-1][2] += 1
-        found = _ARTICLE if name == "article" else _MAIN if name == "main" or "main" in names and "role" in attrs else _NAMED if content and name not in ("html", "body") and name not in _INLINE else 0
+        found = _ARTICLE if name == "article" else _MAIN if name == "main" or role_main else _NAMED if content and name not in ("html", "body") and name not in _INLINE else 0
         if found:
             if containers and containers[-1][0] == name:
                 containers[-1][2] -= 1
@@ -236,7 +279,7 @@ def _differenced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     shared = []
                 if shared:
                     keys.append(r[key])
-                    gone.append([(a, b)[side][k] for k in shared])
+                    gone.append(shared)
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(gone, pa.list_(pa.int64()))], names=["key", "gone"])
 
 
@@ -247,8 +290,8 @@ def _texts(names: list[str], schema: T.StructType, gone_name: str):
             for page, gone in zip(batch.column("html"), batch.column(gone_name), strict=True):
                 lines = page_lines(page.as_py() or "")
                 inside, _ = chosen(lines)
-                gone = set(gone.as_py() or ())
-                out.append(" ".join(lines[k][0] for k in inside if not gone or xxhash.xxh64_intdigest(lines[k][0]) - (1 << 63) not in gone))
+                gone = set(gone.as_py() or ())  # places among the lines inside
+                out.append(" ".join(lines[k][0] for place, k in enumerate(inside) if place not in gone))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())], names=schema.names)
 
     return run

@@ -49,6 +49,20 @@ def test_articles_stay_whole(spark):
     assert got[10] == got[11] == "Same article"
 
 
+def test_words_of_classes_and_ids_that_do_not_name_boilerplate(spark):
+    inside = "<section id='discussion'><p>We discuss {0}.</p></section><h2 id='search'>Search {0}</h2><section id='related-work'><p>Others {0}.</p></section><div class='notice'><p>Shared notice</p></div><div class='notice'><p>Note {0}.</p></div>"
+    kept = "We discuss {0}. Search {0} Others {0}. Note {0}."
+    rest = "<div class='post-comments'><p>first!</p></div><div class='sidebar'>side</div><div role='search'>find</div>"
+    bodies = ["<div class='content no-sidebar'>%s</div>", "<div id='content' class='with-sidebar'>%s</div>", "<article>%s</article>"]
+    rows = [(10 * j + k, f"http://h{j}.example.com/{k}", page((body % (inside.format(k) + rest)))) for j, body in enumerate(bodies) for k in range(3)]
+    # only the aligned line goes, not another of the same text
+    rows += [(90, "http://z.example.com/0", page("<p>Top</p><p>A long own passage of zero.</p><p>Top</p>")), (91, "http://z.example.com/1", page("<p>Top</p><p>A long own passage of one.</p>"))]
+    got = {r["page_id"]: r["text"] for r in page_text.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for j in range(3):
+        assert [got[10 * j + k] for k in range(3)] == [kept.format(k) for k in range(3)]
+    assert got[90].count("Top") == 1 and got[91] == "A long own passage of one."
+
+
 def test_odd_pages(spark):
     rows = [
         (1, None, None, "k", "g"),
