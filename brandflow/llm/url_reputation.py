@@ -1,7 +1,8 @@
 """URL filter: allow and block rules, and empirical-Bayes host reputation for the rest.
 
 Labelled page outcomes (1 bad, 0 good) are counted by host, registered domain
-and suffix. Each level's bad rate is shrunk towards its parent's posterior mean
+and suffix (the last label, or one of ``SUFFIXES``; the domain is the label before it
+with the suffix; an IP address is its own domain and suffix). Each level's bad rate is shrunk towards its parent's posterior mean
 through a beta prior, whose strength is estimated from how much the children of
 that level differ beyond binomial noise (method of moments for the
 beta-binomial): all outcomes -> suffix -> registered domain -> host. A host is
@@ -33,19 +34,39 @@ Z = 1.645
 THRESHOLD = 0.5
 #: Prior strength lies between these many pseudo-outcomes.
 WEAKEST, STRONGEST = 2.0, 10000.0
+#: Public suffixes of several labels under which names are registered: a fixed extract, to be extended; others count by their last label.
+SUFFIXES = tuple(
+    [f"{second}.{country}" for country, seconds in {
+        "uk": "co org me ltd plc net sch ac gov nhs police", "au": "com net org edu gov asn id", "nz": "co net org ac govt school geek gen maori iwi",
+        "jp": "co ne or ac ad ed go gr lg", "kr": "co ne or re pe go ac", "br": "com net org gov edu art blog eco ind", "za": "co net org gov ac web law",
+        "in": "co net org gen firm ind ac edu gov nic res", "cn": "com net org edu gov ac", "tw": "com net org edu gov idv", "hk": "com net org edu gov idv",
+        "sg": "com net org edu gov per", "my": "com net org edu gov name", "mx": "com net org edu gob", "ar": "com net org edu gob gov int mil tur",
+        "tr": "com net org edu gov web gen bel k12", "il": "co net org ac gov muni k12", "id": "co net or ac go sch web my", "th": "co net or ac go in mi",
+        "ua": "com net org edu gov in", "vn": "com net org edu gov", "ph": "com net org edu gov", "pk": "com net org edu gov", "eg": "com net org edu gov",
+        "pe": "com net org edu gob nom", "ec": "com net org edu gob", "ve": "co com net org edu gob web", "uy": "com net org edu gub", "co": "com net org edu gov nom",
+        "pl": "com net org edu gov waw", "pt": "com org edu gov", "gr": "com net org edu gov", "cy": "com net org ac gov", "at": "co or ac gv", "hu": "co org",
+        "es": "com org nom gob edu", "ke": "co or ne go ac sc", "ng": "com net org edu gov", "sa": "com net org edu gov",
+    }.items() for second in seconds.split()]
+    + "github.io gitlab.io blogspot.com wordpress.com herokuapp.com netlify.app vercel.app pages.dev workers.dev web.app firebaseapp.com azurewebsites.net cloudfront.net appspot.com readthedocs.io".split()
+)
+_IP = r"^(?:[0-9]{1,3}(?:[.][0-9]{1,3}){3}(?::[0-9]*)?|\[.*)$"
+_SUFFIX = rf"(?:{'|'.join(s.replace('.', '[.]') for s in SUFFIXES)}|[^.]*)"
 LEVELS = ("suffix", "domain", "host")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def with_parts(urls: DataFrame) -> DataFrame:
-    """``urls`` (url) with host, path, domain and suffix; domain is the last two labels of the host."""
+    """``urls`` (url) with host, path, domain and suffix; domain is the suffix and the label before it, or the host if there is none."""
     at = F.locate("://", F.col("url"))
     rest = F.when(at > 0, F.expr("substring(url, locate('://', url) + 3)")).otherwise("")
     urls = urls.withColumn("_rest", F.coalesce(rest, F.lit("")))
     urls = urls.withColumn("host", F.translate(F.regexp_extract("_rest", r"^([^/?#]*)", 1), _UPPER, _LOWER))
     urls = urls.withColumn("path", F.regexp_extract("_rest", r"^[^/?#]*([^?#]*)", 1)).drop("_rest")
-    domain = F.regexp_extract("host", r"([^.]+[.][^.]+)$", 1)
-    return urls.withColumn("domain", F.when(domain != "", domain).otherwise(F.col("host"))).withColumn("suffix", F.regexp_extract("host", r"([^.]*)$", 1))
+    ip = F.col("host").rlike(_IP)
+    urls = urls.withColumn("suffix", F.when(ip, F.col("host")).otherwise(F.regexp_extract("host", rf"(?:^|[.])({_SUFFIX})$", 1)))
+    domain = F.regexp_extract("host", rf"([^.]+[.]{_SUFFIX[:-2]}+))$", 1)
+    whole = ip | (domain == "") | (F.col("host") == F.col("suffix"))
+    return urls.withColumn("domain", F.when(whole, F.col("host")).otherwise(domain))
 
 
 def _counts(rows: DataFrame, keys: list[str]) -> DataFrame:

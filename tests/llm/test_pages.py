@@ -98,6 +98,15 @@ def test_url_query_equals_sql(spark, duck):
     assert [str(r) for r in got] == [str(r) for r in sorted(duck.execute(ORACLE_SQL["op1_url_filter"]).fetchall())]
 
 
+def test_registered_domains(spark):
+    want = {
+        "a.b.co.uk": ("b.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "b.co.uk": ("b.co.uk", "co.uk"), "x.me.github.io": ("me.github.io", "github.io"),
+        "www.xco.uk": ("xco.uk", "uk"), "a.example.com": ("example.com", "com"), "com": ("com", "com"), "10.2.0.1": ("10.2.0.1", "10.2.0.1"), "[::1.2]:80": ("[::1.2]:80", "[::1.2]:80"),
+    }
+    rows = url_reputation.with_parts(spark.createDataFrame([(f"http://{h}/x",) for h in want], "url string")).collect()
+    assert {r["host"]: (r["domain"], r["suffix"]) for r in rows} == want
+
+
 def test_rules_and_reputation(spark):
     outcomes = [(f"http://bad.example.net/{k}", 1) for k in range(60)] + [(f"http://g{j}.example.net/{k}", 0) for j in range(6) for k in range(30)]
     outcomes += [("http://once.example.net/1", 1), (None, 1)]
