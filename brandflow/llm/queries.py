@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_ppm, license_scan, mixing, near_fss, oph, page_text, pii, positional_index, toxicity, url_reputation
+from . import language_ppm, license_scan, mixing, near_fss, oph, page_text, pii, piece_backtrack, positional_index, token_alignment, toxicity, url_reputation, vp_clusters
+from .scratch import written
 from .shipping import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +86,35 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.balanced(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    aligned = token_alignment.aligned_tokens(docs, token_alignment.vocabularies(spark, a, b))
+    joined = F.array_join(
+        F.transform("groups", lambda g: F.concat(F.array_join(g["a"].cast("array<string>"), ","), F.lit("|"), F.array_join(g["b"].cast("array<string>"), ","))),
+        ";",
+    )
+    digest = F.when(F.col("n_groups") == 0, "").otherwise(F.sha2(joined.cast("binary"), 256)).alias("groups_sha256")
+    # both uses, the counts and the documents, read what is written here: texts are tokenized once
+    aligned = written(aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", digest, "pairs", "pair_links"), "aligned")
+    scored = token_alignment.link_scores(aligned, token_alignment.pair_counts(aligned))
+    return scored.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op12_vector_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vp_clusters.clustered_vectors(spark, table(spark, sf_dir, "embeddings"))
+
+
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256)
+    texts = piece_backtrack.decode_pieces(piece_backtrack.encode_pieces(docs, model).drop("text"), model)
+    return texts.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), ids.alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_fingerprints": op2_fingerprints,
@@ -95,9 +126,41 @@ QUERIES: dict[str, Query] = {
     "op8_personal_data": op8_personal_data,
     "op9_page_text": op9_page_text,
     "op10_mixing": op10_mixing,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_vector_clusters": op12_vector_clusters,
+    "op13_pieces": op13_pieces,
 }
 
+
+def _cluster_sql(k: int = 40, rounds: int = 5, dimensions: int = 64, scale: int = 256) -> str:
+    """Every distance of every round; sums of components are long, one row a vector and component."""
+    ctes = [
+        f"v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS x"
+        f" FROM embeddings WHERE len(embedding) = {dimensions} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dimensions})",
+        "c0 AS (SELECT row_number() OVER (ORDER BY h, x) - 1 AS c, x FROM"
+        f" (SELECT sha256('2:' || CAST(vec_id AS VARCHAR)) AS h, x FROM v ORDER BY h, x LIMIT {k}))",
+    ]
+    for n in range(rounds + 1):
+        ctes.append(
+            f"a{n} AS (SELECT r, vec_id, v.x, min(struct_pack(d := CAST(list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT), c := c)) AS m"
+            f" FROM v, c{n} c GROUP BY r, vec_id, v.x)"
+        )
+        if n < rounds:
+            ctes.append(
+                f"s{n} AS (SELECT m.c AS c, i, sum(x[i]) AS s, count(*) AS n FROM a{n}, range(1, {dimensions + 1}) t(i) GROUP BY m.c, i)"
+            )
+            ctes.append(
+                f"c{n + 1} AS (SELECT c.c, coalesce(g.x, c.x) AS x FROM c{n} c LEFT JOIN (SELECT c, list(CAST((s - (s % n + n) % n) // n AS BIGINT) ORDER BY i) AS x FROM s{n} GROUP BY c) g ON g.c = c.c)"
+            )
+    return (
+        "WITH "
+        + ",\n".join(ctes)
+        + f"\nSELECT vec_id, CAST(m.c AS INTEGER) AS cluster, m.d AS distance, CAST(sum(m.d) OVER (PARTITION BY m.c) AS BIGINT) AS cluster_inertia,"
+        f" CAST(sum(m.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(f.x, ',')) AS centroid_sha256 FROM a{rounds} JOIN c{rounds} f ON f.c = m.c"
+    )
+
 ORACLE_SQL: dict[str, str] = {
+    "op12_vector_clusters": _cluster_sql(),
     "op1_url_filter": r"""
 WITH parts AS (
   SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
