@@ -31,15 +31,18 @@ from brandflow.operators import (
     household_cseg,
     spend_by_household_brand,
 )
-from brandflow.plans import VARIANTS, gain_loss
+from brandflow.plans import VARIANTS, gain_loss, register_gain_loss
 from brandflow.sources import (
+    merge_rows,
     read_purchase_store,
     read_weighted_store,
     scratch_path,
     tpch,
+    update_weights,
     write_purchase_store,
     write_weighted_store,
 )
+from brandflow.sources.stores import materialize_by_household
 
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 MONEY, FACTOR = 2, 6
@@ -168,6 +171,41 @@ def q_gain_loss_matrix(spark, sf_dir):
     return gain_loss(p, hh, bm, per, variant="v6")
 
 
+# The same results by the ways that large inputs take: bounds far below the panel's own sizes.
+
+
+def q_classified_purchases_large_map(spark, sf_dir):
+    # a map too large to broadcast; brands with a large share of the rows are told apart by a sketch
+    p, _, bm, per = _panel(spark, sf_dir)
+    return classify(p, bm, per, max_broadcast_rows=5)
+
+
+def q_corrected_spend_large_map(spark, sf_dir):
+    # factors too many to broadcast, joined without a shuffle of C3
+    cs = materialize_by_household(_v6_cs(spark, sf_dir), "c3")
+    return _money(corrected_spend(cs, correction_factors(cs), max_broadcast_rows=5), "spent_p1", "spent_p2")
+
+
+def q_corrected_spend_raw_large_map(spark, sf_dir):
+    p, hh, bm, per = _panel(spark, sf_dir)
+    classified = classify(p, bm, per, date_filter=True, three_way=True, fold_brandfactor=False)
+    cs = continuous_sample(spend_by_household_brand(classified, two_level=True), hh)
+    spent = corrected_spend_raw(classified, correction_factors(cs), hh, two_level=True, max_broadcast_rows=5)
+    return _money(spent, "spent_p1", "spent_p2")
+
+
+def q_gain_loss_blocks(spark, sf_dir):
+    # every household's pairs dealt out as pairs of blocks of three buckets
+    p, hh, bm, per = _panel(spark, sf_dir)
+    return gain_loss(p, hh, bm, per, variant="v6", block=3)
+
+
+def q_gain_loss_exact(spark, sf_dir):
+    # sums that are the same for any order and partitioning of the rows
+    p, hh, bm, per = _panel(spark, sf_dir)
+    return gain_loss(p, hh, bm, per, variant="v6", exact=True)
+
+
 def q_purchase_store(spark, sf_dir):
     return read_purchase_store(spark, _store(spark, sf_dir, "purchase")).select(
         "hhkey", "occaskey", "brand", "datep", "value", "brandfactor", "rwkorr", "rwstd", "fullmasW"
@@ -180,6 +218,41 @@ def q_weighted_store(spark, sf_dir):
     )
 
 
+def _new_table(spark: SparkSession, sf_dir: str, kind: str) -> tuple[str, str]:
+    path = scratch_path(spark, kind)
+    return path, f"brandflow_{kind}_{os.path.basename(path).rsplit('-', 1)[1][:12]}"
+
+
+def q_purchase_store_merged(spark, sf_dir):
+    # a store of the first third of the purchases; the others arrive in two drops that are merged into its months
+    p, _, _, _ = _panel(spark, sf_dir, string_dates=False)
+    drop = F.pmod(F.xxhash64("hhkey", "occaskey"), F.lit(3))
+    path, table = _new_table(spark, sf_dir, "merged")
+    write_purchase_store(p.where(drop == 0), path, table=table)
+    for k in (1, 2):
+        merge_rows(p.where(drop == k), table, f"drop-{k}")
+    return read_purchase_store(spark, table).select(
+        "hhkey", "occaskey", "brand", "datep", "value", "brandfactor", "rwkorr", "rwstd", "fullmasW"
+    )
+
+
+def q_weighted_store_updated(spark, sf_dir):
+    # a store written with other weights, brought up to date month by month
+    p, hh, _, _ = _panel(spark, sf_dir, string_dates=False)
+    old = hh.withColumn("continuo", F.when(F.col("hhkey") % 4 == 0, F.col("continuo") * 2).otherwise(F.col("continuo")))
+    path, table = _new_table(spark, sf_dir, "updated")
+    write_weighted_store(p, old, path, table=table)
+    update_weights(spark, table, p, old, hh)
+    return read_weighted_store(spark, table).select("hhkey", "brand", "datep", "spent_cs", "spent_fs")
+
+
+def q_gain_loss_sql(spark, sf_dir):
+    # the SQL table function with its default dates
+    p, hh, bm, per = _panel(spark, sf_dir)
+    register_gain_loss(spark, p, hh, bm, name="brandflow_gain_loss", periods=per)
+    return spark.sql("SELECT * FROM brandflow_gain_loss() ORDER BY B1, B2")
+
+
 def _variant_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         v = VARIANTS[name]
@@ -229,6 +302,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gain_loss_matrix": q_gain_loss_matrix,
         "purchase_store": q_purchase_store,
         "weighted_store": q_weighted_store,
+        "classified_purchases_large_map": q_classified_purchases_large_map,
+        "corrected_spend_large_map": q_corrected_spend_large_map,
+        "corrected_spend_raw_large_map": q_corrected_spend_raw_large_map,
+        "gain_loss_blocks": q_gain_loss_blocks,
+        "gain_loss_exact": q_gain_loss_exact,
+        "gain_loss_sql": q_gain_loss_sql,
+        "purchase_store_merged": q_purchase_store_merged,
+        "weighted_store_updated": q_weighted_store_updated,
     }
     for name in VARIANTS:
         q[f"gain_loss_{name}"] = _variant_query(name)
@@ -428,6 +509,17 @@ def oracle_sql() -> dict[str, str]:
         + "\nSELECT hhkey, occaskey, brand, datep, value, brandfactor, rwkorr, rwstd, fullmasW FROM purchases",
         "weighted_store": _with(_WEIGHTED) + "\nSELECT * FROM weighted",
     }
+    same = {
+        "classified_purchases_large_map": "classified_purchases",
+        "corrected_spend_large_map": "corrected_spend",
+        "corrected_spend_raw_large_map": "corrected_spend_raw",
+        "gain_loss_blocks": "gain_loss_matrix",
+        "gain_loss_exact": "gain_loss_matrix",
+        "gain_loss_sql": "gain_loss_matrix",
+        "purchase_store_merged": "purchase_store",
+        "weighted_store_updated": "weighted_store",
+    }
+    sql |= {name: sql[usual] for name, usual in same.items()}
     for name, variant in VARIANTS.items():
         sql[f"gain_loss_{name}"] = _chain(variant) + "," + _FLOW + _CELLS
     return {**sql, **_training_data_queries()[1]}

@@ -1,4 +1,4 @@
-"""Scalar expressions: safe division, strict LEAST, period assignment, date parsing."""
+"""Scalar expressions: safe division, strict LEAST, period assignment, date parsing; sums of doubles."""
 
 from .expr import (
     REST_BUCKET,
@@ -14,10 +14,13 @@ from .expr import (
     ratio_or_zero,
     safe_divide,
 )
+from .sums import Sum, exact_sum, plain_sum
 
 __all__ = [
     "REST_BUCKET",
     "Periods",
+    "Sum",
+    "exact_sum",
     "ifnull0",
     "in_month_periods",
     "in_period",
@@ -26,6 +29,7 @@ __all__ = [
     "least_strict",
     "parse_yyyymmdd",
     "period_of",
+    "plain_sum",
     "ratio_or_zero",
     "safe_divide",
 ]

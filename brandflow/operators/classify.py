@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import REST_BUCKET, Periods, in_month_periods, in_periods, parse_yyyymmdd, period_of
-from ..sources.brand_map import checked_map
+from ..sources.brand_map import MAX_BROADCAST_MAP_ROWS, checked_map, map_profile
 from ..sources.stores import MONTH
+from .lookup import joined_apart
 
 
 def classify(
@@ -19,6 +20,7 @@ def classify(
     three_way: bool | None = None,
     fold_brandfactor: bool = True,
     parse_dates: bool | None = None,
+    max_broadcast_rows: int = MAX_BROADCAST_MAP_ROWS,
 ) -> DataFrame:
     """Map each purchase to its brand bucket and its period.
 
@@ -31,8 +33,11 @@ def classify(
 
     Purchases may be raw (``value, brandfactor, rwkorr, rwstd, fullmasW``) or
     pre-weighted (``spent_cs, spent_fs``); the measures are carried through.
-    The brand map is broadcast after a size check; a brand absent from it, or
-    NULL, lands in the REST bucket; a brand mapped twice counts in both buckets.
+    The brand map is broadcast after a size check (``max_broadcast_rows``); with a
+    larger one the purchases are shuffled by brand, but for those of brands with a
+    large share of the rows and those without a brand (``lookup.joined_apart``). A
+    brand absent from the map, or NULL, lands in the REST bucket; a brand mapped
+    twice counts in both buckets.
     """
     if parse_dates is None:
         parse_dates = dict(purchases.dtypes).get("datep") == "string"
@@ -40,7 +45,7 @@ def classify(
         three_way = not date_filter
     weighted = "spent_cs" in purchases.columns
 
-    p = purchases.alias("p")
+    p = purchases
     datep = parse_yyyymmdd(F.col("p.datep")) if parse_dates else F.col("p.datep")
     if date_filter:
         cond = in_periods(datep, periods)
@@ -48,10 +53,7 @@ def classify(
             # a month-partitioned store: add the month predicate the date filter
             # implies, so whole month directories are pruned
             cond = in_month_periods(F.col(f"p.{MONTH}"), periods) & cond
-        p = p.where(cond)
-    ba = checked_map(brand_map).alias("ba")
-    joined = p.join(ba, F.col("p.brand") == F.col("ba.brand"), "left")
-
+        p = p.alias("p").where(cond)
     bucket = (
         F.when(F.col("ba.brand").isNotNull(), F.col("ba.aggregation"))
         .otherwise(F.lit(REST_BUCKET))
@@ -65,10 +67,11 @@ def classify(
         ]
     else:
         measures = [F.col(f"p.{c}").alias(c) for c in ("value", "brandfactor", "rwkorr", "rwstd", "fullmasW")]
-    return joined.select(
-        F.col("p.hhkey").alias("hhkey"),
-        bucket,
-        *measures,
-        datep.alias("datep"),
-        period_of(datep, periods, filtered=not three_way).alias("period"),
-    )
+    out = [F.col("p.hhkey").alias("hhkey"), bucket, *measures, datep.alias("datep"), period_of(datep, periods, filtered=not three_way).alias("period")]
+
+    def mapped(rows: DataFrame, brands: DataFrame) -> DataFrame:
+        return rows.alias("p").join(brands.alias("ba"), F.col("p.brand") == F.col("ba.brand"), "left").select(*out)
+
+    if map_profile(brand_map).n_rows <= max_broadcast_rows:
+        return mapped(p, checked_map(brand_map))
+    return joined_apart(p, brand_map.select("brand", "aggregation"), "brand", mapped)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import in_period
+from ..functions import Sum, in_period, plain_sum
 
 
 def _row_measures(classified: DataFrame):
@@ -17,7 +17,7 @@ def _row_measures(classified: DataFrame):
     return base, base * F.col("rwkorr") * F.col("rwstd") * F.col("fullmasW")
 
 
-def spend_by_household_brand(classified: DataFrame, *, two_level: bool = False) -> DataFrame:
+def spend_by_household_brand(classified: DataFrame, *, two_level: bool = False, total: Sum = plain_sum) -> DataFrame:
     """Per (household, brand): spend in period 1 and 2, continuous and full sample.
 
     Output: ``hhkey, brand, spent_p1_ics, spent_p2_ics, spent_p1_fs, spent_p2_fs``
@@ -31,29 +31,25 @@ def spend_by_household_brand(classified: DataFrame, *, two_level: bool = False)
     period) first and then collapses the periods: same result (a period sum
     that is NULL meets zeros from the other periods exactly as NULL rows would),
     one more shuffle.
+
+    ``total`` is the sum to use, here and in every other stage: ``exact_sum`` makes the
+    result independent of the order and the partitioning of the rows.
     """
     base, fs = _row_measures(classified)
     cs_name = "cs" if "spent_cs" in classified.columns else "ics"
     names = [f"spent_p1_{cs_name}", f"spent_p2_{cs_name}", "spent_p1_fs", "spent_p2_fs"]
     if not two_level:
-        return classified.groupBy("hhkey", "brand").agg(
-            F.sum(in_period("period", 1, base)).alias(names[0]),
-            F.sum(in_period("period", 2, base)).alias(names[1]),
-            F.sum(in_period("period", 1, fs)).alias(names[2]),
-            F.sum(in_period("period", 2, fs)).alias(names[3]),
-        )
-    by_period = classified.groupBy("hhkey", "brand", "period").agg(
-        F.sum(base).alias("_cs"), F.sum(fs).alias("_fs")
-    )
-    return by_period.groupBy("hhkey", "brand").agg(
-        F.sum(in_period("period", 1, "_cs")).alias(names[0]),
-        F.sum(in_period("period", 2, "_cs")).alias(names[1]),
-        F.sum(in_period("period", 1, "_fs")).alias(names[2]),
-        F.sum(in_period("period", 2, "_fs")).alias(names[3]),
-    )
+        measures = [in_period("period", n, x) for x in (base, fs) for n in (1, 2)]
+        rows = classified.select("hhkey", "brand", *[x.alias(name) for x, name in zip(measures, names)])
+    else:
+        rows = classified.select("hhkey", "brand", "period", base.alias("_cs"), fs.alias("_fs"))
+        by_period = rows.groupBy("hhkey", "brand", "period").agg(total("_cs").alias("_cs"), total("_fs").alias("_fs"))
+        measures = [in_period("period", n, x) for x in ("_cs", "_fs") for n in (1, 2)]
+        rows = by_period.select("hhkey", "brand", *[x.alias(name) for x, name in zip(measures, names)])
+    return rows.groupBy("hhkey", "brand").agg(*[total(name).alias(name) for name in names])
 
 
-def household_weights(households: DataFrame) -> DataFrame:
+def household_weights(households: DataFrame, *, total: Sum = plain_sum) -> DataFrame:
     """One row per household: copies, summed weight, copies with a non-zero weight.
 
     The household table is not declared unique; joining it as it is would
@@ -65,12 +61,14 @@ def household_weights(households: DataFrame) -> DataFrame:
     """
     return households.groupBy("hhkey").agg(
         F.count(F.lit(1)).alias("n_copies"),
-        F.sum("continuo").alias("continuo"),
+        total("continuo").alias("continuo"),
         F.count(F.when(F.col("continuo") != 0, F.lit(1))).alias("n_active"),
     )
 
 
-def continuous_sample(spend: DataFrame, households: DataFrame, *, by_household: bool = False) -> DataFrame:
+def continuous_sample(
+    spend: DataFrame, households: DataFrame, *, by_household: bool = False, total: Sum = plain_sum
+) -> DataFrame:
     """Apply the household weight; households missing from the table drop out.
 
     Output: ``hhkey, brand, spent_p1_cs, spent_p2_cs, spent_p1_fs, spent_p2_fs``
@@ -80,7 +78,7 @@ def continuous_sample(spend: DataFrame, households: DataFrame, *, by_household:
     ``by_household=True`` makes the join a shuffle join on ``hhkey``, so the
     output is hash-partitioned by household (for a write bucketed by it).
     """
-    hh = household_weights(households)
+    hh = household_weights(households, total=total)
     j = spend.join(hh.hint("merge") if by_household else hh, "hhkey")
     return j.select(
         "hhkey",

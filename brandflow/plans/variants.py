@@ -28,7 +28,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from ..functions import Periods
+from ..functions import Periods, exact_sum, plain_sum
 from ..operators import (
     classify,
     continuous_sample,
@@ -40,6 +40,9 @@ from ..operators import (
     gain_loss_matrix,
     spend_by_household_brand,
 )
+from ..operators.lookup import MAX_BROADCAST_ROWS
+from ..operators.matrix import BLOCK
+from ..sources.brand_map import map_profile
 from ..sources.stores import materialize_by_household, scratch_root
 
 
@@ -64,6 +67,11 @@ VARIANTS = {
 }
 
 
+def max_buckets(brand_map: DataFrame) -> int:
+    """Most buckets that purchases can fall into: one for each row of the map at most, and REST."""
+    return map_profile(brand_map).n_rows + 1
+
+
 def allocated_spend(
     purchases: DataFrame,
     households: DataFrame | None,
@@ -72,6 +80,8 @@ def allocated_spend(
     variant: Variant,
     *,
     materialize: str | None = None,
+    exact: bool = False,
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Everything up to C8/C9: ``hhkey, brand, spent_p1, spent_p2, cseg_p1, cseg_p2, cseg``.
 
@@ -91,7 +101,11 @@ def allocated_spend(
     - ``"none"``: no cut (both branches recompute C3).
 
     v1-v3 re-aggregate the raw rows in the main run by design; they default to "none".
+
+    ``exact`` sums without dependence on the order of rows. ``max_broadcast_rows`` bounds
+    what is broadcast: the brand map, and the factors, which have at most one row more.
     """
+    total = exact_sum if exact else plain_sum
     if materialize is None:
         materialize = "table" if variant.reuse_pre_run else "none"
     if materialize not in ("table", "checkpoint", "none"):
@@ -102,31 +116,33 @@ def allocated_spend(
         periods,
         date_filter=variant.date_filter,
         fold_brandfactor=variant.fold_brandfactor,
+        max_broadcast_rows=max_broadcast_rows,
     )
-    spend = spend_by_household_brand(classified, two_level=variant.two_level)
+    spend = spend_by_household_brand(classified, two_level=variant.two_level, total=total)
     weighted = "spent_p1_cs" in spend.columns  # pre-weighted input: the household weight is in already
     if weighted:
         cs = spend
     else:
         if households is None:
             raise ValueError("households are required unless the purchases are pre-weighted")
-        cs = continuous_sample(spend, households, by_household=materialize == "table")
+        cs = continuous_sample(spend, households, by_household=materialize == "table", total=total)
     if materialize == "table":
         # after the household join C3 is already hash-partitioned by hhkey
         cs = materialize_by_household(cs, "c3", partitioned=not weighted)
     elif materialize == "checkpoint":
         scratch_root(cs.sparkSession)  # the session's checkpoint folder (own one only if unset)
         cs = cs.checkpoint(eager=True)
-    factors = correction_factors(cs)
+    factors = correction_factors(cs, total=total)
+    bound = {"max_buckets": max_buckets(brand_map), "max_broadcast_rows": max_broadcast_rows}
     if variant.reuse_pre_run:
-        spent = corrected_spend(cs, factors)
+        spent = corrected_spend(cs, factors, **bound)
     else:
         if households is None:
             raise ValueError("re-aggregating raw rows needs the household table")
-        spent = corrected_spend_raw(classified, factors, households, two_level=variant.two_level)
+        spent = corrected_spend_raw(classified, factors, households, two_level=variant.two_level, total=total, **bound)
     if variant.allocation == "join":
-        return cseg_allocation_join(spent)
-    return cseg_allocation_window(spent)
+        return cseg_allocation_join(spent, total=total)
+    return cseg_allocation_window(spent, total=total)
 
 
 def gain_loss(
@@ -138,6 +154,9 @@ def gain_loss(
     variant: str | Variant = "v6",
     digits: int = 2,
     materialize: str | None = None,
+    exact: bool = False,
+    block: int = BLOCK,
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Brand-by-brand gains and losses: ``B1, B2, total_gains_b1_to_b2, total_losses_b1_to_b2``.
 
@@ -147,7 +166,14 @@ def gain_loss(
 
     ``purchases`` must match the variant's source: raw rows (string or DATE
     ``datep``) for v1-v6, pre-weighted rows for v7 (then ``households`` may be None).
+
+    ``exact=True`` gives the same bits for any order and partitioning of the rows, at the
+    price of four integer sums for each sum. ``block`` and ``max_broadcast_rows`` are the
+    sizes beyond which a household's pairs are dealt out and tables are not broadcast.
     """
     v = VARIANTS[variant] if isinstance(variant, str) else variant
-    allocated = allocated_spend(purchases, households, brand_map, periods, v, materialize=materialize)
-    return gain_loss_matrix(allocated, digits=digits)
+    allocated = allocated_spend(
+        purchases, households, brand_map, periods, v, materialize=materialize, exact=exact, max_broadcast_rows=max_broadcast_rows
+    )
+    total = exact_sum if exact else plain_sum
+    return gain_loss_matrix(allocated, digits=digits, max_buckets=max_buckets(brand_map), block=block, total=total)

@@ -13,8 +13,10 @@ from .brand_map import (
     reference_brand_map,
     write_brand_map,
 )
+from .months import compact_months, drop_old_months, merge_rows, month_locations, update_weights
 from .stores import (
     drop_scratch_tables,
+    household_history,
     read_purchase_store,
     read_weighted_store,
     scratch_path,
@@ -29,9 +31,14 @@ __all__ = [
     "brand_map_from_rows",
     "bucket_names",
     "checked_map",
+    "compact_months",
+    "drop_old_months",
     "drop_scratch_tables",
+    "household_history",
     "map_checks",
     "map_profile",
+    "merge_rows",
+    "month_locations",
     "read_brand_map",
     "read_households",
     "read_purchases",
@@ -41,6 +48,7 @@ __all__ = [
     "scratch_path",
     "scratch_root",
     "tpch",
+    "update_weights",
     "weighted_purchases",
     "write_brand_map",
     "write_purchase_store",

@@ -28,7 +28,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import parse_yyyymmdd
+from ..functions import exact_sum, parse_yyyymmdd, plain_sum
 from ..operators.spend import household_weights
 
 
@@ -64,6 +64,35 @@ def with_partition_column(df: DataFrame, granularity: str) -> tuple[DataFrame, s
     raise ValueError(f"granularity must be 'month' or 'day', not {granularity!r}")
 
 
+#: Parquet settings for look-ups by household: small row groups, whose ranges of the sorted ``hhkey`` rule most of them out.
+HOUSEHOLD_INDEX = {"parquet.block.size": str(8 << 20), "parquet.page.size": str(64 << 10), "parquet.page.row.count.limit": "2000"}
+
+
+def _clustered(df: DataFrame, part: str, num_partitions: int | None = None, by_household: bool = False) -> DataFrame:
+    """``df`` as it is written: rows of a partition together, sorted by household, brand and day.
+
+    The partition column comes first in the sort: the writer wants its rows together and else sorts anew.
+    ``by_household`` deals large partitions out by ranges of ``hhkey`` (which samples the input), so a
+    household is in one file of each; else adaptive execution splits them anyhow.
+    """
+    if by_household:
+        n = num_partitions or shuffle_partitions(df.sparkSession)
+        df = df.repartitionByRange(n, part, "hhkey")
+    else:
+        df = df.hint("rebalance", num_partitions, part) if num_partitions else df.hint("rebalance", part)
+    return df.sortWithinPartitions(part, "hhkey", "brand", "datep")
+
+
+def write_clustered(df: DataFrame, path: str, part: str) -> None:
+    """Write rows into a new folder, laid out as in a store."""
+    _clustered(df, part).write.partitionBy(part).parquet(path)
+
+
+def household_history(spark: SparkSession, location: str, hhkeys: list[int]) -> DataFrame:
+    """All rows of a few households in a store. Their keys are pushed to the Parquet reader, which skips by the sorted ``hhkey``."""
+    return _read_store(spark, location).where(F.col("hhkey").isin(list(hhkeys)))
+
+
 def _write_partitioned(
     df: DataFrame,
     path: str,
@@ -71,16 +100,12 @@ def _write_partitioned(
     num_partitions: int | None,
     table: str | None = None,
     granularity: str = "month",
+    household_index: bool = False,
 ) -> None:
     df, part = with_partition_column(df, granularity)
-    hint = ("rebalance", num_partitions, part) if num_partitions else ("rebalance", part)
-    writer = (
-        df.hint(*hint)
-        # the partition column first: the writer wants its rows together and else sorts anew
-        .sortWithinPartitions(part, "hhkey", "brand", "datep")
-        .write.mode(mode)
-        .partitionBy(part)
-    )
+    writer = _clustered(df, part, num_partitions, household_index).write.mode(mode).partitionBy(part)
+    if household_index:
+        writer = writer.options(**HOUSEHOLD_INDEX)
     if table:
         # External table in the session catalog: its partitions are registered,
         # so a period filter prunes days in the catalog before any listing.
@@ -114,13 +139,16 @@ def write_purchase_store(
     mode: str = "errorifexists",
     num_partitions: int | None = None,
     granularity: str = "month",
+    household_index: bool = False,
 ) -> str:
     """Every purchase column, ``datep`` parsed to DATE (a malformed date raises).
 
+    ``household_index`` lays the files out for look-ups by household (``household_history``).
+
     Returns ``table`` when given (the store is then also registered in the
     session catalog), else ``path``; either can be passed to the reader.
     """
-    _write_partitioned(_typed_dates(purchases), path, mode, num_partitions, table, granularity)
+    _write_partitioned(_typed_dates(purchases), path, mode, num_partitions, table, granularity, household_index)
     return table or path
 
 
@@ -129,7 +157,7 @@ def read_purchase_store(spark: SparkSession, location: str) -> DataFrame:
     return _read_store(spark, location)
 
 
-def weighted_purchases(purchases: DataFrame, households: DataFrame) -> DataFrame:
+def weighted_purchases(purchases: DataFrame, households: DataFrame, *, exact: bool = False) -> DataFrame:
     """One row per purchase with the weights applied: ``hhkey, brand, datep, spent_cs, spent_fs``.
 
     ``spent_cs = value * brandfactor * continuo``,
@@ -137,9 +165,10 @@ def weighted_purchases(purchases: DataFrame, households: DataFrame) -> DataFrame
     Household copies are folded first (summed weight, full-sample value
     counted once per copy), which gives the same per-(household, brand) sums
     as one row per purchase and copy, without multiplying the purchase rows.
-    Purchases of households absent from the table are dropped.
+    Purchases of households absent from the table are dropped. ``exact`` sums the
+    weights of a household's copies without dependence on their order.
     """
-    hh = household_weights(households)
+    hh = household_weights(households, total=exact_sum if exact else plain_sum)
     base = F.col("value") * F.col("brandfactor")
     return (
         _typed_dates(purchases)
@@ -164,10 +193,11 @@ def write_weighted_store(
     mode: str = "errorifexists",
     num_partitions: int | None = None,
     granularity: str = "month",
+    household_index: bool = False,
 ) -> str:
-    """C14: the pre-weighted store (returns ``table`` or ``path``, as C13)."""
+    """C14: the pre-weighted store (returns ``table`` or ``path``, and takes ``household_index``, as C13)."""
     _write_partitioned(
-        weighted_purchases(purchases, households), path, mode, num_partitions, table, granularity
+        weighted_purchases(purchases, households), path, mode, num_partitions, table, granularity, household_index
     )
     return table or path
 

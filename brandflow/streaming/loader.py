@@ -7,15 +7,18 @@ progress lives in ``checkpoint_location``, by default the folder next to the
 store named like it with ``.checkpoint`` added: a second call for the same store
 goes on where the first stopped. The two belong together, since the sink knows
 its batches by the numbers that the progress folder gives them. Each trigger
-adds files of its own, unsorted; rewrite the store with ``write_purchase_store``
-now and then to cluster and compact it.
+adds files of its own, unsorted. ``start_clustered_stream`` keeps a catalog store
+sorted instead: each batch is merged into its months.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from ..sources.months import merge_rows
 from ..sources.schemas import RAW_PURCHASES
 from ..sources.stores import _typed_dates, weighted_purchases, with_partition_column
 
@@ -52,3 +55,52 @@ def start_store_stream(
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start(store_path)
+
+
+def _stream_id(spark: SparkSession, checkpoint_location: str) -> str:
+    """An id that lives and goes with the checkpoint folder, so batch numbers that start anew are not taken for old ones."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{checkpoint_location}/stream-id")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        out = fs.create(path, False)
+        out.writeBytes(uuid.uuid4().hex)
+        out.close()
+    source = fs.open(path)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
+def start_clustered_stream(
+    spark: SparkSession,
+    source_dir: str,
+    table: str,
+    checkpoint_location: str,
+    *,
+    households: DataFrame | None = None,
+    available_now: bool = True,
+    max_files_per_trigger: int | None = None,
+) -> StreamingQuery:
+    """Stream raw purchase files into a store that is a catalog table partitioned by month, and keep it sorted.
+
+    Each batch is merged with its months, which are written anew and switched in the
+    catalog, one after the other; other months keep their files. A batch that was
+    interrupted is run again by Spark and skips the months that have it already, so no
+    row is lost or doubled. The cost of a batch is the size of the months it touches:
+    let drops be large, or use ``start_store_stream`` where sorting can wait.
+    ``sources.drop_old_months`` removes what earlier batches left.
+    """
+    reader = spark.readStream.schema(RAW_PURCHASES)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = _stream_id(spark, checkpoint_location)
+
+    def merge(batch: DataFrame, number: int) -> None:
+        rows = _typed_dates(batch)
+        merge_rows(weighted_purchases(rows, households) if households is not None else rows, table, f"{stream}-{number}")
+
+    writer = reader.parquet(source_dir).writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint_location)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
