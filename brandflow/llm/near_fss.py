@@ -235,15 +235,26 @@ def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _across(stars: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components that may be linked, among the classes that share a center c.
 
-    Let D(x) be the elements in which x and c differ. With similarity p percent
-    and r = (100 - p) / (100 + p), x and y are linked if and only if they differ in at
-    most ``r (|x| + |y|)`` elements, and they differ in ``|D(x)| + |D(y)| - 2 s``, where s
-    is the number of elements that D(x) and D(y) share. So a link needs
+    Let x be the smaller set of a pair and y the larger (of equal sizes, by class). Two
+    filters find the pairs; each pair is covered by one of them, as x decides:
+
+    *x has enough elements outside c.* Order the elements of all sets of the center: those
+    outside c first, rare ones before frequent ones, then those of c. A linked pair shares
+    at least ``p / (100 + p) (|x| + |y|)`` elements, with p percent, so one of x's first
+    ``|x| - 2 p |x| / (100 + p) + 1`` and of y's first ``|y| - p |y| / 100 + 1`` elements. If that
+    many of x lie outside c, the shared one does too, and nothing of c is compared: pages
+    of one template that are too different to be linked meet nobody, since what is
+    their own is at least as much as x's part of the order.
+
+    *x is nearly within c.* Let D(x) be the elements in which x and c differ. With
+    ``r = (100 - p) / (100 + p)``, x and y are linked if and only if they differ in at most
+    ``r (|x| + |y|)`` elements, and they differ in ``|D(x)| + |D(y)| - 2 s``, where s is the number of
+    elements that D(x) and D(y) share. So a link needs
 
         s >= (|D(x)| + |D(y)| - r (|x| + |y|)) / 2.
 
-    Of two classes in different components at least one, y, is not linked with c:
-    ``|D(y)| > r (|y| + |c|)``. That bounds s from below for either class alone (see
+    Of two classes in different components at least one, z, is not linked with c:
+    ``|D(z)| > r (|z| + |c|)``. That bounds s from below for either class alone (see
     ``least``), by 1 at the least. Then both must share one of their first
     ``|D| - s + 1`` elements in any common order; rare ones come first, so the
     random edits of near copies meet nobody, however large their group is.
@@ -254,22 +265,37 @@ def _across(stars: DataFrame, labels: DataFrame, sets: DataFrame, percent: int)
     x = written(x, "parted")
     apart = x.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.max((F.col("part") != F.col("center_part")).cast("int")).alias("apart")).where("n > 1 and apart = 1")
     x = x.join(apart.select("a"), "a")
-    differ = F.concat(F.array_except("left", "right"), F.array_except("right", "left"))
-    x = _with_sets(x, sets).withColumn("differ", differ).withColumn("d", F.size("differ").cast("long"))
-    q, r = 100 + percent, 100 - percent
+    missing, own = F.array_except("left", "right"), F.array_except("right", "left")
+    differ = F.concat(
+        F.transform(missing, lambda v: F.struct(v.alias("element"), F.lit(False).alias("own"))),
+        F.transform(own, lambda v: F.struct(v.alias("element"), F.lit(True).alias("own"))),
+    )
+    x = _with_sets(x, sets).withColumn("differ", differ).withColumn("d", F.size("differ").cast("long")).withColumn("n_own", F.size(own).cast("long"))
+    p, q, r = percent, 100 + percent, 100 - percent
     outside = F.ceil((q * F.col("d") - r * (F.col("a_size") + F.col("b_size"))) / F.lit(2 * q))
     inside = F.floor((q * F.col("d") + r * (F.col("a_size") - F.col("b_size"))) / F.lit(2 * q)) + 1
     least = F.greatest(F.lit(1), F.when(F.col("part") == F.col("center_part"), inside).otherwise(outside))
-    rows = written(x.select("a", "b", "b_size", "part", "d", least.alias("least"), F.explode("differ").alias("element")), "differences")
+    as_smaller, as_larger = F.col("b_size") - F.ceil(2 * p * F.col("b_size") / F.lit(q)) + 1, F.col("b_size") - F.ceil(p * F.col("b_size") / F.lit(100)) + 1
+    x = x.select("a", "b", "b_size", "part", "d", least.alias("least"), as_smaller.alias("as_smaller"), as_larger.alias("as_larger"), "n_own", F.explode("differ").alias("e"))
+    rows = written(x.select("*", "e.element", "e.own").drop("e"), "differences")
     times = rows.groupBy("a", "element").agg(F.count(F.lit(1)).alias("times"), F.min("part").alias("low"), F.max("part").alias("high"))
     order = Window.partitionBy("a", "b").orderBy("times", "element")
-    first = rows.join(times, ["a", "element"]).withColumn("place", F.row_number().over(order))
-    first = written(first.where((F.col("place") <= F.col("d") - F.col("least") + 1) & (F.col("low") < F.col("high"))).drop("low", "high", "times", "least"), "first-differences")
+    first = rows.join(times, ["a", "element"]).withColumn("place", F.row_number().over(order)).withColumn("own_place", F.sum(F.col("own").cast("int")).over(order))
+    first = first.withColumn("apart", F.col("n_own") >= F.col("as_smaller")).withColumn("in_differences", F.col("place") <= F.col("d") - F.col("least") + 1)
+    first = first.where((F.col("low") < F.col("high")) & (F.col("in_differences") | (F.col("own") & (F.col("own_place") <= F.col("as_larger")))))
+    first = written(first.drop("low", "high", "times", "least"), "first-differences")
     x, y = first.alias("x"), first.alias("y")
-    # what is left of either set from the shared element on bounds s from above
+    same = (F.col("x.a") == F.col("y.a")) & (F.col("x.element") == F.col("y.element")) & (F.col("x.part") != F.col("y.part"))
+    ordered = (F.col("x.b_size") < F.col("y.b_size")) | ((F.col("x.b_size") == F.col("y.b_size")) & (F.col("x.b") < F.col("y.b")))
+    fits = same & ordered & (100 * F.col("x.b_size") >= p * F.col("y.b_size"))
+    sizes = F.col("x.b_size") + F.col("y.b_size")
+    # what is left of either set from the shared element on bounds what they share
+    left_over = F.least(F.col("x.b_size") - F.col("x.own_place"), F.col("y.b_size") - F.col("y.own_place")) + 1
+    by_order = x.where("x.apart and x.own and x.own_place <= x.as_smaller").join(y.where("y.own and y.own_place <= y.as_larger"), fits & (q * left_over >= p * sizes))
     left_over = F.least(F.col("x.d") - F.col("x.place") + 1, F.col("y.d") - F.col("y.place") + 1)
-    enough = 2 * q * left_over >= q * (F.col("x.d") + F.col("y.d")) - r * (F.col("x.b_size") + F.col("y.b_size"))
-    same = (F.col("x.a") == F.col("y.a")) & (F.col("x.element") == F.col("y.element")) & (F.col("x.part") < F.col("y.part"))
-    pairs = x.join(y, same & enough).select(F.least("x.b", "y.b").alias("a"), F.greatest("x.b", "y.b").alias("b")).distinct()
+    enough = 2 * q * left_over >= q * (F.col("x.d") + F.col("y.d")) - r * sizes
+    by_difference = x.where("not x.apart and x.in_differences").join(y.where("y.in_differences"), fits & enough)
+    pairs = by_order.select("x.b", F.col("y.b").alias("c")).union(by_difference.select("x.b", F.col("y.b").alias("c")))
+    pairs = pairs.select(F.least("b", "c").alias("a"), F.greatest("b", "c").alias("b")).distinct()
     done = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return pairs.join(done, ["a", "b"], "left_anti")
