@@ -13,9 +13,14 @@ suffix of the text so far that is a context of any tree, and a table holds the
 cost of every next symbol in every state under every language. So a text is
 scored with a few array look-ups a byte, whole, whatever its length.
 
+Symbols: 0 starts a text, every byte value of the sample has its own, and the last
+stands for the values that no training text holds. Those cost the same in every
+context, the whole escape chain and 8 bits, so their sharing a symbol loses nothing:
+code lengths are those of trees over all 256 values.
+
 Training reads a sample: each language keeps about ``train_docs`` of its
 documents (all if it has fewer), chosen by a hash of doc_id. The sample, and so
-the trees, stay bounded as the corpus grows.
+the trees, stay bounded as the corpus grows; a language is learned whatever its size.
 
 Defined results: a text that is null or has no letter gives ``und``, score 0;
 rows with null lang or null text are not learned from; with nothing to learn
@@ -38,9 +43,8 @@ from pyspark.sql import types as T
 from .textbytes import blocks, utf8
 
 UNKNOWN = "und"
-#: Symbols: 0 starts a text, 1..SYMBOLS-2 are the commonest bytes, the last stands for any other byte.
-SYMBOLS = 96
-SAMPLE_GRAIN = 1 << 20
+#: The sample's hashes are compared with a threshold below this, fine enough for a language of any size.
+SAMPLE_GRAIN = 1 << 62
 
 
 def held_out(doc_id: Column) -> Column:
@@ -137,10 +141,15 @@ def _train_sample(docs: DataFrame, train_docs: int) -> DataFrame:
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a language
     if not sizes:
         return rows.select("lang", "text").limit(0)
-    rate = F.lit(0)
+    rate = F.lit(0).cast("long")
     for lang, n in sorted(sizes.items()):
-        rate = F.when(F.col("lang") == lang, int(min(1.0, train_docs / n) * SAMPLE_GRAIN)).otherwise(rate)
-    return rows.where(F.pmod(F.xxhash64(F.col("doc_id")), F.lit(SAMPLE_GRAIN)) < rate).select("lang", "text")
+        rate = F.when(F.col("lang") == lang, F.lit(_threshold(n, train_docs)).cast("long")).otherwise(rate)
+    return rows.where(F.shiftrightunsigned(F.xxhash64(F.col("doc_id")), 2) < rate).select("lang", "text")
+
+
+def _threshold(n: int, train_docs: int) -> int:
+    """Hashes below it, of ``SAMPLE_GRAIN``, are in the sample of a language with ``n`` documents."""
+    return SAMPLE_GRAIN if n <= train_docs else SAMPLE_GRAIN * train_docs // n
 
 
 def fit_language_model(docs: DataFrame, max_order: int = 3, train_docs: int = 500) -> LanguageModel | None:
@@ -175,10 +184,10 @@ def _symbols(sample: DataFrame) -> tuple[np.ndarray, int] | None:
     rows = sample.select("text").mapInArrow(byte_counts, "byte int, n long").groupBy("byte").agg(F.sum("n").alias("n")).where("n > 0").collect()
     if not rows:
         return None
-    common = [r["byte"] for r in sorted(rows, key=lambda r: (-r["n"], r["byte"]))[: SYMBOLS - 2]]
-    symbol = np.full(256, len(common) + 1, np.uint8)
-    symbol[sorted(common)] = np.arange(1, len(common) + 1)
-    return symbol, len(common) + 2
+    held = sorted(r["byte"] for r in rows)
+    symbol = np.full(256, len(held) + 1, np.uint16)
+    symbol[held] = np.arange(1, len(held) + 1)
+    return symbol, len(held) + 2
 
 
 def _automaton(counts: pa.Table, symbol: np.ndarray, width: int, max_order: int) -> LanguageModel:
@@ -203,7 +212,7 @@ def _automaton(counts: pa.Table, symbol: np.ndarray, width: int, max_order: int)
 
     step = np.zeros((total, width), np.int32)
     cost = np.empty((total, width, len(langs)), np.float32)
-    others = max(1, 256 - (width - 2))  # bytes that share the last symbol
+    others = max(1, 256 - (width - 2))  # byte values that no training text holds
     for k in range(max_order + 1):
         size = len(known[k])
         # shorter context: drop the oldest symbol

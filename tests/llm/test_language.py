@@ -17,46 +17,64 @@ def test_held_out_accuracy(docs):
     assert all(0 <= r["score"] <= 1 for r in got)
 
 
-def brute_bits(counts, text, order, symbol, width):
-    """Code length by walking the contexts of every symbol, longest first."""
-    others = 256 - (width - 2)
-    codes = [0, *(int(symbol[b]) for b in text)]
+def brute_bits(counts, text, order):
+    """Code length over the 256 byte values, by walking the contexts of every byte, longest first."""
+    codes = [None, *text]
     bits = 0.0
     for i in range(1, len(codes)):
-        total = 0.0
         for k in range(min(order, i), -1, -1):
             seen = counts.get(tuple(codes[i - k : i]), {})
             n = sum(seen.values())
             if codes[i] in seen:
-                total -= math.log2(seen[codes[i]] / (n + len(seen)))
+                bits -= math.log2(seen[codes[i]] / (n + len(seen)))
                 break
             if n:
-                total -= math.log2(len(seen) / (n + len(seen)))
+                bits -= math.log2(len(seen) / (n + len(seen)))
         else:
-            total += 8 - (math.log2(others) if codes[i] == width - 1 else 0)
-        bits += total + (math.log2(others) if codes[i] == width - 1 else 0)
+            bits += 8
     return bits
 
 
-def test_code_lengths_equal_a_plain_walk(spark):
-    train = [(k, t, lang) for k, (t, lang) in enumerate([("abracadabra abra", "x"), ("cadabra bracada", "x"), ("zyxw yxzw zzyx", "y"), ("wxyz wyxz", "y")] * 3)]
-    docs = spark.createDataFrame(train, "doc_id long, text string, lang string")
+def brute_counts(texts, order):
+    counts = {}
+    for text in texts:
+        codes = [None, *text]
+        for i in range(1, len(codes)):
+            for k in range(min(order, i) + 1):
+                c = counts.setdefault(tuple(codes[i - k : i]), {})
+                c[codes[i]] = c.get(codes[i], 0) + 1
+    return counts
+
+
+def check_code_lengths(spark, train, texts):
+    docs = spark.createDataFrame([(k, t, lang) for k, (t, lang) in enumerate(train)], "doc_id long, text string, lang string")
     model = language_ppm.fit_language_model(docs, max_order=3)
     used = docs.where(~language_ppm.held_out(F.col("doc_id"))).collect()
-    texts = ["abra", "zyx abra", "qqq", "a", "Ünï"]
-    data, off = utf8(pa.array(texts))
-    got = model.bits(data, off)
+    got = model.bits(*utf8(pa.array(texts)))
     for j, lang in enumerate(model.langs):
-        counts = {}
-        for r in used:
-            if r["lang"] == lang:
-                codes = [0, *(int(model.symbol[b]) for b in r["text"].encode())]
-                for i in range(1, len(codes)):
-                    for k in range(min(3, i) + 1):
-                        c = counts.setdefault(tuple(codes[i - k : i]), {})
-                        c[codes[i]] = c.get(codes[i], 0) + 1
-        want = [brute_bits(counts, t.encode(), 3, model.symbol, model.symbol_count) for t in texts]
-        assert np.allclose(got[:, j], want, rtol=1e-5)
+        counts = brute_counts([r["text"].encode() for r in used if r["lang"] == lang], 3)
+        assert np.allclose(got[:, j], [brute_bits(counts, t.encode(), 3) for t in texts], rtol=1e-5)
+    return model
+
+
+def test_code_lengths_equal_a_plain_walk(spark):
+    train = [("abracadabra abra", "x"), ("cadabra bracada", "x"), ("zyxw yxzw zzyx", "y"), ("wxyz wyxz", "y")] * 3
+    check_code_lengths(spark, train, ["abra", "zyx abra", "qqq", "a", "Ünï", "\x00\x7f"])
+
+
+def test_code_lengths_over_many_scripts(spark):
+    """Far more byte values than one script has; each counts by itself."""
+    letters = {"de": [*range(48, 58), *range(65, 91), *range(97, 123)], "ru": range(0x430, 0x450), "uk": [*range(0x430, 0x440), 0x454, 0x456, 0x457, 0x491], "el": range(0x3B1, 0x3CA), "he": range(0x5D0, 0x5EB), "ka": range(0x10D0, 0x10F1), "zh": range(0x4E00, 0x4F00), "em": range(0x1F600, 0x1F640)}
+    train = [("".join(chr(c) for c in list(cs)[k % 3 :: 2]) + " .", lang) for lang, cs in letters.items() for k in range(8)]
+    model = check_code_lengths(spark, train, ["привет", "їжак є", "αβγ", "שלום", "中文 text", "🙂🙃", "ÿ"])
+    held = {b for t, _ in train for b in t.encode()}
+    assert len(held) > 120 and len(set(model.symbol.tolist())) >= 0.9 * len(held)  # some texts are held out
+
+
+def test_a_language_of_any_size_is_sampled():
+    for n in (1, 499, 500, 501, 10**6, 524_288_001, 10**9, 10**12, 10**15):
+        expected = n * language_ppm._threshold(n, 500) / language_ppm.SAMPLE_GRAIN
+        assert expected == n if n <= 500 else 499 < expected <= 500
 
 
 def test_odd_rows(odd, docs):
