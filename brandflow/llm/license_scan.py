@@ -10,13 +10,17 @@ words). Screening loses nothing: a line that reaches the threshold must hold one
 of the heaviest words of the template, enough of them that the rest of the template
 alone stays below the threshold (prefix filter), and the squared weights of the
 template's words that a file holds must sum up to the threshold squared, since
-that bounds the cosine of any part of it. SPDX-License-Identifier tags are read as
-they stand, with cosine 1.
+that bounds the cosine of any part of it. An SPDX-License-Identifier tag states its
+licence itself: of the longest valid expression after it, of known identifiers, each
+licence counts as an entry with cosine 1, and the file's first expression is kept whole.
 
 A file gets every licence that reaches the threshold (``licences``, the most similar
-first, each with its best place); ``licence`` is the first of them. Versions of one
-text are similar to one another and may be named together. There is no full text of
-CC-BY and AGPL among the templates; a full AGPL text is similar to GPL-3.0.
+first, each with its best place); ``licence`` is the expression of its first tag, such as
+``MIT OR Apache-2.0``, or else the first of them. Versions of one
+text are similar to one another and may be named together. Groups are of three lengths,
+``GROUPS`` times the template's. A text similar to GPL-3.0 whose first line names the Affero
+licence is AGPL-3.0, from which it differs in that title and one section. There is no
+full text of CC-BY among the templates; such a text is named by its sentences only.
 
 A file without a licence of its own inherits that of the nearest ancestor
 directory that has a licence file: the file's ancestor directories, one row
@@ -40,6 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import spdx
 from .scratch import written
 
 # fixed values: short licence statements, by SPDX name
@@ -55,8 +60,7 @@ TEMPLATES = {
 THRESHOLD = 0.8
 _LISTED = pa.list_(pa.struct([("licence", pa.string()), ("cosine", pa.float64()), ("line", pa.int64())]))
 _WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
-_SPDX = re.compile(r"SPDX-License-Identifier:[ \t]*([\w.+() \t:-]+)", re.I)
-_SPDX_ID = re.compile(r"\bWITH\s+[\w.+-]+|\b(?:AND|OR)\b|([A-Za-z0-9][\w.+:-]*)", re.I)
+_AFFERO = re.compile(r"\s*gnu affero general public license")
 #: Groups of lines end where they hold these many times the words of the template.
 GROUPS = (0.8, 1.0, 1.25)
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|notice)[^/]*$"
@@ -169,10 +173,12 @@ class Matcher:
                 starts.add(low.rfind("\n", 0, at) + 1)
                 end = low.find("\n", at)
                 at = low.find(w, end) if end >= 0 else -1
+        line, counted = 0, 0
         for start in sorted(starts):
+            line, counted = line + low.count("\n", counted, start), start
             end = low.find("\n", start)
             for name, cosine in self.reached(low[start : end if end >= 0 else len(low)]):
-                add(name, cosine, low.count("\n", 0, start))
+                add(name, cosine, line)
         held = set(words(low))
         lines: list[list[str]] | None = None
         for matcher, least in ((self, 2), (self.texts, 1)):
@@ -183,11 +189,15 @@ class Matcher:
         if lines is not None and self.texts:
             for name, cosine in self.texts.reached(low):
                 add(name.removesuffix(".header"), cosine, next(k for k, line in enumerate(lines) if line))
+        if "GPL-3.0" in best and _AFFERO.match(low):
+            best["AGPL-3.0"] = best.pop("GPL-3.0")
         if "spdx-license-identifier" in low:
-            for m in _SPDX.finditer(text):
-                for tag in _SPDX_ID.findall(m.group(1)):
-                    if tag:
-                        add(tag, 1.0, text.count("\n", 0, m.start()))
+            line = counted = 0
+            for m in spdx.TAG.finditer(text):
+                line, counted = line + text.count("\n", counted, m.start()), m.start()
+                stated = spdx.expression(m.group(1))
+                for name in spdx.identifiers(stated) if stated else ():
+                    add(name, 1.0, line)
         return sorted(((name, cosine, line) for name, (cosine, line) in best.items()), key=lambda f: (-f[1], f[2], f[0]))
 
     def scan(self, text: str) -> tuple[str | None, float, int]:
@@ -195,6 +205,15 @@ class Matcher:
         return next(iter(self.found(text)), (None, 0.0, -1))
 
 
+def stated_licence(text: str) -> tuple[str, float, int] | None:
+    """Expression, cosine 1 and line of the first SPDX tag with a valid expression."""
+    for m in spdx.TAG.finditer(text):
+        stated = spdx.expression(m.group(1))
+        if stated:
+            return stated, 1.0, text.count("\n", 0, m.start())
+    return None
+
+
 def _frequencies(templates: dict[str, str]):
     known = {w for t in templates.values() for w in words(t)}
     vocabulary = sorted(known)
@@ -230,8 +249,9 @@ def licences(files: DataFrame, matcher: Matcher, licence_file=None) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            every = [matcher.found(t.as_py() or "") for t in batch.column("text")]
-            found = [f[0] if f else (None, 0.0, -1) for f in every]
+            texts = [t.as_py() or "" for t in batch.column("text")]
+            every = [matcher.found(t) for t in texts]
+            found = [stated_licence(t) or (f[0] if f else (None, 0.0, -1)) for t, f in zip(texts, every)]
             listed = [[{"licence": name, "cosine": cosine, "line": line} for name, cosine, line in f] for f in every]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("file_id"), batch.column("path"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()), pa.array([f[2] for f in found], pa.int64()), pa.array(listed, _LISTED)],

@@ -1,7 +1,9 @@
 import math
 from collections import Counter
 
-from brandflow.llm import license_scan
+import pytest
+
+from brandflow.llm import license_scan, spdx
 
 APACHE = "# Licensed under the Apache License, Version 2.0."
 
@@ -76,3 +78,49 @@ def test_texts_headers_tags_and_several_licences(spark):
     assert {(x["licence"], x["line"]) for x in got[7]["licences"]} >= {("MIT", 0), ("GPL-3.0", 2)}
     for k, name in enumerate(texts):
         assert got[10 + k]["licence"] == name.removesuffix(".header")
+
+
+@pytest.mark.parametrize(
+    "line, want",
+    [
+        ("MIT Copyright 2020 Foo", "MIT"),
+        ("Apache-2.0 see the file LICENSE for details", "Apache-2.0"),
+        ("MIT OR Apache-2.0", "MIT OR Apache-2.0"),
+        ("mit or apache-2.0 */", "MIT OR Apache-2.0"),
+        ("(MIT OR Apache-2.0) AND GPL-2.0-only WITH Classpath-exception-2.0 -->", "(MIT OR Apache-2.0) AND GPL-2.0-only WITH Classpath-exception-2.0"),
+        ("GPL-2.0+", "GPL-2.0+"),
+        ("MIT AND unknown words", "MIT"),
+        ("GPL-2.0-only WITH no-such-exception", "GPL-2.0-only"),
+        ("LicenseRef-Own-1 OR ISC", "LicenseRef-Own-1 OR ISC"),
+        ("(MIT OR", None),
+        ("NONE", None),
+        ("NOASSERTION", None),
+        ("Foo", None),
+        ("2020", None),
+        ("", None),
+    ],
+)
+def test_spdx_expressions(line, want):
+    assert spdx.expression(line) == want
+    if want:
+        assert all(name in spdx.IDENTIFIERS or "LicenseRef" in name for name in (n.removesuffix("+") for n in spdx.identifiers(want)))
+
+
+def test_stated_licences_of_files_and_directories(spark):
+    tag = "// SPDX-License-Identifier: "
+    rows = [
+        (1, "a/LICENSE", tag + "MIT OR Apache-2.0"),
+        (2, "a/b/x.c", "int x;"),
+        (3, "c/x.c", tag + "MIT Copyright 2020 Foo"),
+        (4, "c/y.c", tag + "NONE"),
+        (5, "c/z.c", "\n" * 20_000 + (tag + "ISC\nint y;\n") * 3000),
+        (6, "c/z.c", "\n" * 20_000 + (tag + "ISC\nint y;\n") * 3000),
+        (7, "d/COPYING", "GNU AFFERO GENERAL PUBLIC LICENSE\n" + license_scan.licence_texts()["GPL-3.0"].split("\n", 1)[1]),
+    ]
+    files = spark.createDataFrame(rows, "file_id long, path string, text string")
+    got = {r["file_id"]: r for r in license_scan.licences(files, license_scan.fit_matcher(files)).collect()}
+    assert (got[1]["licence"], got[2]["licence"], got[2]["inherited_from"]) == ("MIT OR Apache-2.0", "MIT OR Apache-2.0", "a")
+    assert [(x["licence"], x["cosine"]) for x in got[3]["licences"]] == [("MIT", 1.0)] and got[3]["licence"] == "MIT"
+    assert got[4]["licence"] is None and not got[4]["licences"]
+    assert (got[5]["licence"], got[5]["line"]) == ("ISC", 20_000) and got[5][2:] == got[6][2:]
+    assert got[7]["licence"] == "AGPL-3.0"
