@@ -123,8 +123,11 @@ def proximity_matches(index: DataFrame, pairs: DataFrame, within: int) -> DataFr
     """(row, first, second, pos, other): occurrences of ``pairs`` (first, second) of terms at most ``within`` words apart.
 
     The lists of the two terms are cut into blocks of ``within`` words and met
-    block by block, so a common pair costs its neighbours only.
+    block by block, so a common pair costs its neighbours only. ``within`` is 1 or more.
+    A term meets itself too, at distance 0; pairs that repeat count once.
     """
+    if within < 1:
+        raise ValueError("within: 1 or more")
     span = F.lit(within)
     a = index.join(pairs.distinct(), F.col("term") == F.col("first")).select("row", "first", "second", "pos", F.floor(F.col("pos") / span).alias("block"))
     b = index.join(pairs.select("second").distinct(), F.col("term") == F.col("second")).select(

@@ -81,3 +81,23 @@ def test_full_index_and_proximity(spark, odd):
     pairs = spark.createDataFrame([("quick", "jumps"), ("quick", "lazy")], "first string, second string")
     got = positional_index.proximity_matches(index, pairs, 3).collect()
     assert [(r["first"], r["second"], r["pos"], r["other"]) for r in got] == [("quick", "jumps", 1, 4)]
+
+
+@pytest.mark.parametrize("within", [1, 2, 5, 40])
+def test_proximity_equals_brute_force(spark, within):
+    """Random texts of few words: ties, repeated terms, a term with itself, repeated rows and texts without words."""
+    import random
+
+    rnd = random.Random(within)
+    texts = [" ".join(rnd.choice("abcdef") for _ in range(rnd.choice([0, 1, 3, 30, 90]))) for _ in range(25)]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(3, texts[3]), (100, None)]
+    pairs = [("a", "b"), ("b", "a"), ("c", "c"), ("d", "nowhere"), ("e", "f"), ("e", "f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    index = positional_index.build_index(docs.distinct())
+    got = positional_index.proximity_matches(index, spark.createDataFrame(pairs, "first string, second string"), within)
+    names = docs.distinct().select("doc_id", positional_index.row_key().alias("row"))
+    got = sorted(tuple(r) for r in got.join(names, "row").select("doc_id", "first", "second", "pos", "other").collect())
+    want = [
+        (d, a, b, i, j) for d, t in set(rows) for a, b in set(pairs) for i, x in enumerate((t or "").split()) for j, y in enumerate((t or "").split()) if (x, y) == (a, b) and abs(i - j) <= within
+    ]
+    assert got == sorted(want) and (within == 1 or len(want) > 100)
