@@ -8,11 +8,14 @@ that level differ beyond binomial noise (method of moments for the
 beta-binomial): all outcomes -> suffix -> registered domain -> host. A host is
 blocked when the lower bound of its posterior bad rate, ``mean - Z * sd``, is above
 the threshold; hosts never seen in the labels take their domain's, suffix's or
-the overall posterior.
+the overall posterior. Hosts are judged once each; urls get the judgement of their
+host by broadcast or, with many hosts, by a join in which large hosts are told apart.
 
 Defined results: a null url, or one without ``://``, has empty host and path and is
 judged as host "". Without any outcome every url is allowed. Outcomes are
-counted once per labelled page.
+counted once per labelled page. Port and user name are part of the host. Columns of the
+urls named like an added one (host, path, domain, suffix, rule, verdict, bad_rate,
+bad_bound, _rest) are replaced; others and repeated rows stay.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.lookup import lookup_join
 from .scratch import written
 
 #: (verdict, host, path): fits the host and its subdomains where the url's path starts with the path.
@@ -119,7 +123,7 @@ def judged_urls(urls: DataFrame, outcomes: DataFrame, rules=RULES, threshold: fl
     ``outcomes``: (url, bad), one row per labelled page.
     """
     tables, top = reputations(with_parts(outcomes.select("url", F.col("bad").cast("long").alias("bad"))))
-    rows = with_parts(urls)
+    rows = with_parts(urls.drop("rule", "verdict", "bad_rate", "bad_bound"))
     a, b = F.lit(None).cast("double"), F.lit(None).cast("double")
     known = rows.select(*LEVELS).distinct()
     for level in reversed(LEVELS):  # the finest level that has outcomes
@@ -127,7 +131,9 @@ def judged_urls(urls: DataFrame, outcomes: DataFrame, rules=RULES, threshold: fl
         known = known.join(tables[level].withColumnsRenamed({"a": f"a_{level}", "b": f"b_{level}"}), keys, "left")
         a, b = F.coalesce(a, F.col(f"a_{level}")), F.coalesce(b, F.col(f"b_{level}"))
     a, b = F.coalesce(a, F.lit(top["a"])), F.coalesce(b, F.lit(top["b"]))
-    known = known.select(*LEVELS, (a / (a + b)).alias("bad_rate"), lower_bound(a, b, z).alias("bad_bound"))
+    # one row a host; a host with a large share of the urls doesn't meet its row in a shuffle
+    known = written(known.select("host", (a / (a + b)).alias("bad_rate"), lower_bound(a, b, z).alias("bad_bound")), "judged-hosts")
     rule, verdict = rule_for(rules)
     by_host = F.when(F.col("bad_bound") > threshold, "block").otherwise("allow")
-    return rows.join(known, list(LEVELS)).withColumn("rule", rule).withColumn("verdict", F.coalesce(verdict, by_host))
+    judged = lookup_join(rows, known, "host")
+    return judged.withColumn("rule", rule).withColumn("verdict", F.coalesce(verdict, by_host)).select(*rows.columns, "bad_rate", "bad_bound", "rule", "verdict")

@@ -98,6 +98,48 @@ def test_url_query_equals_sql(spark, duck):
     assert [str(r) for r in got] == [str(r) for r in sorted(duck.execute(ORACLE_SQL["op1_url_filter"]).fetchall())]
 
 
+HOSTS = "a.b.co.uk c.b.co.uk x.co.uk co.uk uk me.github.io www.me.github.io you.github.io a.example.com b.example.com 10.2.0.1 10.2.0.2 www.xco.uk localhost [::1] a.example.com:8080".split()
+
+
+def test_url_query_equals_sql_on_hosts_of_all_kinds(spark, tmp_path):
+    """Suffixes of several labels, IP hosts, ports; a host with half of the urls, repeated rows and nulls."""
+    import duckdb
+
+    rnd = random.Random(8)
+    pages, labels = [(0, None, ""), (1, "no scheme", ""), (1, "no scheme", "")], []
+    for k in range(2, 900):
+        host = HOSTS[0] if k % 2 else rnd.choice(HOSTS)
+        pages.append((k, f"http://{host}/{rnd.choice(['en', 'de', 'x'])}/{k}", ""))
+        if rnd.random() < 0.7:
+            labels.append((k, int(rnd.random() < (0.2 if "b.co" in host or "10.2" in host else 0.9)), 0))
+    pages += pages[-3:]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    con = duckdb.connect()
+    for t in ("pages", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    columns = ["page_id", "host", "path", "rule", "verdict"]
+    got = sorted(map(str, map(tuple, QUERIES["op1_url_filter"](spark, str(tmp_path)).select(columns).collect())))
+    want = sorted(map(str, con.execute(f"SELECT {', '.join(columns)} FROM ({ORACLE_SQL['op1_url_filter']})").fetchall()))
+    assert len(set(got)) == 900 and {"'block'", "'allow'"} == {r.rsplit(" ", 1)[1][:-1] for r in got}
+    # the SQL gives equal rows once for each pair of them
+    assert sorted(set(got)) == sorted(set(want)) and len(got) == len(pages)
+
+
+def test_urls_of_many_hosts_are_judged_alike(spark, monkeypatch):
+    """The join with large hosts told apart gives what the broadcast gives; clashing columns are replaced."""
+    from brandflow.operators import lookup
+
+    outcomes = spark.createDataFrame([(f"http://h{k % 7}.example.net/{k}", int(k % 7 < 3)) for k in range(300)], "url string, bad int")
+    urls = [(f"http://{'h1' if k % 2 else f'h{k}'}.example.net/{k}", "mine", "mine") for k in range(400)] + [(None, "mine", "mine")] * 2
+    df = spark.createDataFrame(urls, "url string, host string, verdict string")
+    columns = ["url", "host", "path", "rule", "verdict", "bad_bound"]
+    usual = sorted(map(str, url_reputation.judged_urls(df, outcomes).select(columns).collect()))
+    real = lookup.lookup_join
+    monkeypatch.setattr(url_reputation, "lookup_join", lambda rows, table, key: real(rows, table, key, max_rows=3))
+    assert sorted(map(str, url_reputation.judged_urls(df, outcomes).select(columns).collect())) == usual and len(usual) == 402
+
+
 def test_registered_domains(spark):
     want = {
         "a.b.co.uk": ("b.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "b.co.uk": ("b.co.uk", "co.uk"), "x.me.github.io": ("me.github.io", "github.io"),
