@@ -159,7 +159,7 @@ class WordCodes:
         """Token ids of texts given as lists of words, and the offsets of the texts in them."""
         if len(self.known) > REMEMBERED:
             self.clear()
-        codes, words = [], [0]
+        codes, words = array("q"), [0]
         for text in texts:
             codes.extend(map(self.known.__getitem__, text))
             words.append(len(codes))
@@ -195,7 +195,7 @@ class PieceEncoder:
                 self.byte_id[value], self.bytes_of[k] = k, bytes([value])
             elif kind == UNKNOWN:
                 self.bytes_of[k] = _UNKNOWN_SURFACE.encode()
-        self.is_byte = np.array([kind == BYTE for kind in model.kinds])
+        self.byte_size = np.array(list(map(len, self.bytes_of)), np.int64)
         self.alphabet = {c for piece in self.id for c in piece}
         for c in sorted(self.alphabet - self.id.keys()):  # a character inside pieces that is none itself
             self.id[c] = len(self.text)

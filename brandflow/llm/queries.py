@@ -90,11 +90,7 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     aligned = token_alignment.aligned_tokens(docs, token_alignment.vocabularies(spark, a, b))
-    joined = F.array_join(
-        F.transform("groups", lambda g: F.concat(F.array_join(g["a"].cast("array<string>"), ","), F.lit("|"), F.array_join(g["b"].cast("array<string>"), ","))),
-        ";",
-    )
-    digest = F.when(F.col("n_groups") == 0, "").otherwise(F.sha2(joined.cast("binary"), 256)).alias("groups_sha256")
+    digest = F.when(F.col("n_groups") == 0, "").otherwise(F.sha2(F.col("groups").cast("binary"), 256)).alias("groups_sha256")
     # both uses, the counts and the documents, read what is written here: texts are tokenized once
     aligned = written(aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", digest, "pairs", "pair_links"), "aligned")
     scored = token_alignment.link_scores(aligned, token_alignment.pair_counts(aligned))
@@ -168,8 +164,11 @@ WITH parts AS (
   SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM parts
 ), h AS (
-  SELECT *, CASE WHEN regexp_matches(host, '[^.]+[.][^.]+$') THEN regexp_extract(host, '([^.]+[.][^.]+)$', 1) ELSE host END AS domain,
-         regexp_extract(host, '([^.]*)$', 1) AS suffix, TRY_CAST(regexp_extract(path, '/([0-9]{1,18})(?:[.]html)?/?$', 1) AS BIGINT) AS doc_id FROM u
+  SELECT *, CASE WHEN ip OR host = suffix OR own = '' THEN host ELSE own END AS domain FROM (
+    SELECT *, CASE WHEN ip THEN host ELSE regexp_extract(host, '(?:^|[.])({SUFFIX}|[^.]*)$', 1) END AS suffix,
+           regexp_extract(host, '([^.]+[.](?:{SUFFIX}|[^.]+))$', 1) AS own FROM (
+      SELECT *, regexp_matches(host, '^([0-9]{1,3}([.][0-9]{1,3}){3}(:[0-9]*)?|\[.*)$') AS ip,
+             TRY_CAST(regexp_extract(path, '/([0-9]{1,18})(?:[.]html)?/?$', 1) AS BIGINT) AS doc_id FROM u))
 ), lab AS (
   SELECT doc_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels GROUP BY doc_id
 ), hosts AS (
@@ -219,7 +218,7 @@ WITH parts AS (
 SELECT p.page_id, p.host, p.path, f.rule,
        coalesce(f.what, CASE WHEN a / (a + b) - 1.645 * sqrt(a / (a + b) * (1 - a / (a + b)) / (a + b + 1)) > 0.5 THEN 'block' ELSE 'allow' END) AS verdict
 FROM post p LEFT JOIN fits f ON p.page_id IS NOT DISTINCT FROM f.page_id AND p.host = f.host AND p.path = f.path
-""",
+""".replace("{SUFFIX}", "|".join(x.replace(".", "[.]") for x in url_reputation.SUFFIXES)),
     # words are compared window by window, without an index
     "op4_decontamination": r"""
 WITH d AS (

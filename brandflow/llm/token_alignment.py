@@ -25,7 +25,7 @@ pairs are joined with it, frequent pairs salted.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .piece_backtrack import PieceModel, WordCodes, broadcast_model, model_bytes, offsets32, text_blocks, worker_encoder
+from .piece_backtrack import SPACE, PieceEncoder, PieceModel, WordCodes, broadcast_model, model_bytes, offsets32, text_blocks
 from .scratch import free_name, written
 
 #: Steps of a piece of the merge path.
@@ -126,17 +126,27 @@ class ByteLevelTokenizer:
     def _word(self, word: str) -> list[int]:
         return [t.id for t in self.merge("".join(map(self.symbol.__getitem__, word.encode())))]
 
-    def encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encoded(self, texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of texts, and the offsets of the texts in them."""
         return self.codes.tokens(map(self.split, texts))
 
 
-_TOKENIZERS: dict[str, ByteLevelTokenizer] = {}
+class _Worker:
+    """Both tokenizers of a Python worker, with the words they know."""
 
+    def __init__(self, a: ByteLevelTokenizer, b: PieceEncoder) -> None:
+        self.a, self.b = a, b
+        self.written = _Written(len(a.size), len(b.byte_size))
 
-def _worker_tokenizer(content: str, digest: str) -> ByteLevelTokenizer:
-    if digest not in _TOKENIZERS:
-        _TOKENIZERS[digest] = ByteLevelTokenizer(content)
-    return _TOKENIZERS[digest]
+
+_WORKERS: dict[tuple[str, str], _Worker] = {}
+
+
+def _worker(a: tuple[str, str], b: PieceModel) -> _Worker:
+    key = a[1], b.digest
+    if key not in _WORKERS:
+        _WORKERS[key] = _Worker(ByteLevelTokenizer(a[0]), PieceEncoder(b))
+    return _WORKERS[key]
 
 
 class Vocabularies(NamedTuple):
@@ -160,66 +170,74 @@ def vocabularies(spark: SparkSession, a_path: str, b_path: str) -> Vocabularies:
 
 # ------------------------------------------------------------------------ alignment of documents
 
-_INTS, _LONGS = T.ArrayType(T.IntegerType()), T.ArrayType(T.LongType())
-#: What ``aligned_tokens`` adds: a group's A and B ids; pairs are a_id * 2^32 + b_id, rising, with their links in the document.
+#: What ``aligned_tokens`` adds. ``groups`` lists each group's A and B ids: ``a1,a2|b1;a3|b2,b3``, empty without
+#: tokens. ``pairs`` are a_id * 2^32 + b_id, rising, ``pair_links`` how many links of the document hold each.
 ALIGNED = T.StructType(
     [
         T.StructField("n_a", T.LongType()),
         T.StructField("n_b", T.LongType()),
         T.StructField("n_groups", T.LongType()),
         T.StructField("n_links", T.LongType()),
-        T.StructField("groups", T.ArrayType(T.StructType([T.StructField("a", _INTS), T.StructField("b", _INTS)]))),
-        T.StructField("pairs", _LONGS),
-        T.StructField("pair_links", _INTS),
+        T.StructField("groups", T.StringType()),
+        T.StructField("pairs", T.ArrayType(T.LongType())),
+        T.StructField("pair_links", T.ArrayType(T.IntegerType())),
     ]
 )
 
 
-def _block_columns(texts: list[str | None], a_tok: ByteLevelTokenizer, b_model: PieceModel) -> list[pa.Array]:
-    encoder = worker_encoder(b_model)
-    texts = [t or "" for t in texts]
-    whole = [" " + t if t else "" for t in texts]
-    raw = [w.encode() for w in whole]
-    a, a_cut = a_tok.encoded(whole)
-    b, b_cut = encoder.encoded(texts)
-    b_bytes = list(map(encoder.bytes_of.__getitem__, b.tolist()))
-    b_size = np.fromiter(map(len, b_bytes), np.int64, len(b_bytes))
-    a_size = a_tok.size[a]
-    # a text whose B bytes are not its own has no tokens
-    same = np.array([bool(w) and b"".join(b_bytes[b_cut[k] : b_cut[k + 1]]) == w for k, w in enumerate(raw)], bool)
-    n_a, n_b = np.where(same, np.diff(a_cut), 0), np.where(same, np.diff(b_cut), 0)
-    a_keep, b_keep = np.repeat(same, np.diff(a_cut)), np.repeat(same, np.diff(b_cut))
-    a, a_size, b, b_size = a[a_keep], a_size[a_keep], b[b_keep], b_size[b_keep]
-    walk = merged_overlaps(np.cumsum(a_size), np.cumsum(b_size))
-    a_doc = np.repeat(np.arange(len(texts)), n_a)
-    doc = a_doc[walk.a]
-    # tokens of a group follow each other on both sides
-    first = np.flatnonzero(np.diff(walk.group, prepend=-1))
-    a_offsets, b_offsets = np.append(walk.a[first], len(a)), np.append(walk.b[first], len(b))
-    n_groups = np.bincount(doc[first], minlength=len(texts))
-    n_links = np.bincount(doc, minlength=len(texts))
-    groups = pa.StructArray.from_arrays(
-        [
-            pa.ListArray.from_arrays(offsets32(a_offsets), pa.array(a.astype(np.int32))),
-            pa.ListArray.from_arrays(offsets32(b_offsets), pa.array(b.astype(np.int32))),
-        ],
-        ["a", "b"],
-    )
-    cut = offsets32(np.concatenate(([0], np.cumsum(n_groups))))
+class _Written:
+    """Token ids as text, with the mark that stands before them: ',' or ';' for A's, ',' or '|' for B's."""
+
+    def __init__(self, n_a: int, n_b: int) -> None:
+        marks = [(",", n_a), (";", n_a), (",", n_b), ("|", n_b)]
+        self.text = np.array([f"{mark}{k}" for mark, n in marks for k in range(n)], object)
+        self.more_a, self.first_a, self.more_b, self.first_b = np.cumsum([0, n_a, n_a, n_b]).tolist()
+
+    def groups(self, a: np.ndarray, b: np.ndarray, a_group: np.ndarray, b_group: np.ndarray, cut: np.ndarray) -> list[str]:
+        """The groups of each document as text; ``cut`` has its first group, and the number of groups at the end."""
+        # a group's A tokens, then its B tokens: tokens of the other side that come before each one
+        n = int(cut[-1])
+        a_at = np.arange(len(a)) + np.searchsorted(b_group, a_group, "left")
+        b_at = np.arange(len(b)) + np.searchsorted(a_group, b_group, "right")
+        which = np.empty(len(a) + len(b), np.int64)
+        which[a_at] = a + np.where(np.diff(a_group, prepend=-1) != 0, self.first_a, self.more_a)
+        which[b_at] = b + np.where(np.diff(b_group, prepend=-1) != 0, self.first_b, self.more_b)
+        before = np.searchsorted(a_group, np.arange(n + 1)) + np.searchsorted(b_group, np.arange(n + 1))
+        ends = before[cut].tolist()
+        texts = self.text[which].tolist()
+        return ["".join(texts[s:e])[1:] for s, e in zip(ends, ends[1:])]
+
+
+def _block_columns(texts: list[str | None], worker: _Worker) -> list[pa.Array]:
+    a_size, b_size = worker.a.size, worker.b.byte_size
+    # B's bytes are the text's own unless it holds the character that B writes for a space
+    texts = [t if t and SPACE not in t else "" for t in texts]
+    a, a_cut = worker.a.encoded(" " + t if t else "" for t in texts)
+    b, b_cut = worker.b.encoded(texts)
+    a_ends, b_ends = np.cumsum(a_size[a]), np.cumsum(b_size[b])
+    if len(a) and a_ends[-1] != b_ends[-1]:
+        raise AssertionError("both tokenizations must cut the same bytes")
+    walk = merged_overlaps(a_ends, b_ends)
+    doc = np.repeat(np.arange(len(texts)), np.diff(a_cut))[walk.a]
+    first = np.flatnonzero(np.diff(walk.group, prepend=-1))  # of each group's links
+    n_groups, n_links = (np.bincount(x, minlength=len(texts)) for x in (doc[first], doc))
+    a_group, b_group = (np.repeat(np.arange(walk.groups), np.diff(np.append(x[first], len(y)))) for x, y in ((walk.a, a), (walk.b, b)))
+    groups = worker.written.groups(a, b, a_group, b_group, np.concatenate(([0], np.cumsum(n_groups))))
     # links of each document and pair
-    pair = (a[walk.a].astype(np.int64) << 32) | b[walk.b]
-    order = np.lexsort((pair, doc))
-    pair, doc = pair[order], doc[order]
-    new = np.flatnonzero((np.diff(pair, prepend=-1) != 0) | (np.diff(doc, prepend=-1) != 0))
-    times = np.diff(np.append(new, len(pair))).astype(np.int32)
-    pair_cut = offsets32(np.searchsorted(doc[new], np.arange(len(texts) + 1)))
+    a_bits, b_bits = len(a_size).bit_length(), len(b_size).bit_length()
+    key = np.sort((((doc << a_bits) | a[walk.a]) << b_bits) | b[walk.b])
+    new = np.flatnonzero(np.diff(key, prepend=-1))
+    times = np.diff(np.append(new, len(key))).astype(np.int32)
+    key = key[new]
+    pairs = ((key >> b_bits & ((1 << a_bits) - 1)) << 32) | (key & ((1 << b_bits) - 1))
+    pair_cut = offsets32(np.searchsorted(key >> (a_bits + b_bits), np.arange(len(texts) + 1)))
     return [
-        pa.array(n_a),
-        pa.array(n_b),
+        pa.array(np.diff(a_cut)),
+        pa.array(np.diff(b_cut)),
         pa.array(n_groups),
         pa.array(n_links),
-        pa.ListArray.from_arrays(cut, groups),
-        pa.ListArray.from_arrays(pair_cut, pa.array(pair[new])),
+        pa.array(groups, pa.string()),
+        pa.ListArray.from_arrays(pair_cut, pa.array(pairs)),
         pa.ListArray.from_arrays(pair_cut, pa.array(times)),
     ]
 
@@ -228,7 +246,7 @@ def aligned_tokens(docs: DataFrame, vocabularies: Vocabularies, text_col: str =
     """``docs`` without ``text_col``, with the columns of ``ALIGNED``: both tokenizations of space + text, aligned.
 
     A null or empty text, and one whose B tokens don't give its bytes back, has no
-    tokens: zeros and empty arrays. Rows are independent, repeated rows stay; a column
+    tokens: zeros, empty text and arrays. Rows are independent, repeated rows stay; a column
     of ``docs`` with a name of ``ALIGNED`` gets underscores. Map-only; a task holds a block of
     texts, or one longer text, with its tokens.
     """
@@ -241,9 +259,9 @@ def aligned_tokens(docs: DataFrame, vocabularies: Vocabularies, text_col: str =
     a, b = vocabularies
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _worker_tokenizer(*a.value)
+        worker = _worker(a.value, b.value)
         for rows, texts in text_blocks(batches, text_col):
-            columns = _block_columns(texts, tokenizer, b.value)
+            columns = _block_columns(texts, worker)
             yield pa.RecordBatch.from_arrays([*[rows.column(c) for c in kept], *columns], schema.names)
 
     return docs.mapInArrow(align, schema)
