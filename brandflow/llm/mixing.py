@@ -8,37 +8,48 @@ where x is the document's size in units of its source's mean and l the source's
 multiplier, so ``rate = MOST / (1 + (MOST - 1) * exp(-l * x))``; l = 0 gives 1. The
 multipliers maximise the concave dual ``sum_s (l_s * target_s - sum_d softplus)``,
 which is separate in the sources; Newton steps, kept inside a bracket, find all
-of them at once. Each step is one aggregation over the documents.
+of them at once. Documents of one source and size have one rate, so each step is one
+aggregation over the counts of (source, size), of which a source with N tokens has
+fewer than the root of 2 N. Steps end when every source meets its target; if some do
+not after ``steps``, that is an error.
 
 Rates are then rounded to whole copies with a dither from a hash of the row. A
-common shift of a source's dithers, refined like the multipliers by aggregation,
-brings its total up to its target; what is missing still, less than a document,
-is filled with one more copy of documents that fit. Everything derives from
-hashes and exact sums: reruns agree.
+common shift of a source's dithers brings its total up to its target: the shifts at
+which documents gain a copy are whole numbers, and the largest one that stays within
+the target is read off running sums over bins, then over the bins of one bin, down to
+single values. What is missing still, less than a document, is filled with one more copy
+of documents that fit. Everything derives from hashes and exact sums: reruns agree.
+
+What belongs to sources (weights, targets, multipliers, shifts) is kept in tables with
+one row a source; the driver gets single numbers only. Documents look their source up
+by ``lookup_join``: a broadcast while the table is proven small, else a shuffle join with
+the large sources told apart.
 
 Defined results: null or empty texts have size 0; they take no part in the
 balance and one copy of them is kept. A null source is a source of its own. A
 source without tokens has target 0. Rows that repeat a doc_id and its text are
-rounded alike. Sources are collected to the driver as one row each.
+rounded alike.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.lookup import lookup_join
+from .ordering import numbered
 from .scratch import written
 from .textbytes import blocks, utf8, word_starts
 
 #: Most copies of a document.
 MOST = 2
-#: Thresholds are found by cutting their bracket in so many, so many times.
-CUTS, ROUNDS = 16, 9
+#: Positions of a dither, and of the bins that one round of sums over positions tells apart, in bits.
+DITHER_BITS, BIN_BITS = 40, 14
 TOP_UPS = 2
 #: Sums of real numbers are taken on this grid as whole numbers: their order can't change them.
 GRID = 1 << 20
@@ -58,38 +69,30 @@ def _sizes(names: list[str]):
     return run
 
 
-def source_targets(sizes: dict[str | None, int], weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> dict[str | None, float]:
-    """Tokens that each source is to give.
+def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
+    """key, source, source_size, n, target of each source of ``sized`` (key, source, size).
 
     Sources in code point order, null last, take the weights in turn and share
     ``share`` of all tokens by them. None may pass ``most`` times its size; what is
     above is shared again by weight among the others, until none is above.
     """
-    order = sorted(sizes, key=lambda s: (s is None, s or ""))
-    weight = {s: weights[k % len(weights)] for k, s in enumerate(order)}
-    left, free, target = share * sum(sizes.values()), list(order), {}
-    while free:
-        unit = left / sum(weight[s] for s in free)
-        full = [s for s in free if unit * weight[s] >= most * sizes[s]]
-        if not full:
-            return target | {s: unit * weight[s] for s in free}
-        for s in full:
-            target[s] = float(most * sizes[s])
-            left -= target[s]
-        free = [s for s in free if s not in target]
-    return target
-
-
-def _by_source(values: dict[str | None, float | None]) -> Column:
-    """A column with a value for each source."""
-    known = {s: v for s, v in values.items() if s is not None}
-    pairs = [x for s, v in known.items() for x in (F.lit(s), F.lit(v).cast("double"))]
-    col = F.create_map(*pairs)[F.col("source")] if pairs else F.lit(None).cast("double")
-    return F.when(F.col("source").isNull(), F.lit(values.get(None)).cast("double")).otherwise(col)
-
-
-def _sums(rows: DataFrame, *sums: Column) -> dict[str | None, tuple]:
-    return {r["source"]: r for r in rows.groupBy("source").agg(*sums).collect()}  # one row a source
+    found = sized.groupBy("key").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"), F.sum((F.col("size") > 0).cast("long")).alias("n"))
+    ranked = numbered(found, [F.col("source").asc_nulls_last()], "place")
+    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("place") % len(weights) + 1).cast("int"))
+    sources = written(ranked.withColumn("weight", weight).drop("place"), "sources")
+    unit, before = 0.0, None
+    while True:  # the tokens a unit of weight gets only grow, and with them the set of sources that are full
+        full = most * F.col("source_size") <= unit * F.col("weight")
+        got = sources.agg(
+            F.sum("source_size").alias("all"),
+            F.sum(F.when(full, most * F.col("source_size")).otherwise(0)).alias("full"),
+            F.sum(F.when(~full, F.col("weight")).otherwise(0)).alias("open"),
+        ).first()
+        if not got["open"] or (got["full"], got["open"]) == before:
+            break
+        unit, before = (share * got["all"] - got["full"]) / got["open"], (got["full"], got["open"])
+    # where all are full the unit stays that of the last that was not
+    return sources.withColumn("target", F.least(F.lit(float(most)) * F.col("source_size"), F.lit(float(unit)) * F.col("weight")))
 
 
 def _exact_sum(value: Column) -> Column:
@@ -100,90 +103,119 @@ def _rate(multiplier: Column, x: Column) -> Column:
     return F.lit(float(MOST)) / (F.lit(1.0) + F.lit(float(MOST - 1)) * F.exp(-multiplier * x))
 
 
-def balanced(docs: DataFrame, tolerance: float = 1e-9, steps: int = 60) -> DataFrame:
+def multipliers(counts: DataFrame, sources: DataFrame, n_sources: int, tolerance: float, steps: int) -> DataFrame:
+    """key, multiplier of the sources whose target lies between nothing and MOST times their size.
+
+    ``counts``: key, size (above 0), docs. Newton steps within a bracket; long leaps wait for one.
+    """
+    none = F.lit(None).cast("double")
+    inside = sources.where((F.col("target") > 0) & (F.col("target") < MOST * F.col("source_size")))
+    mean = F.col("source_size") / F.col("n")
+    state = written(inside.select("key", "target", mean.alias("mean"), F.lit(0.0).alias("multiplier"), none.alias("low"), none.alias("high")), "multipliers")
+    m, gap, low, high, newton = (F.col(c) for c in ("multiplier", "gap", "low", "high", "newton"))
+    for _ in range(steps):
+        x = F.col("size") / F.col("mean")
+        tokens = F.col("docs") * F.col("size") * _rate(m, x)
+        sums = (
+            lookup_join(counts, state.select("key", "mean", "multiplier"), "key", n_rows=n_sources)
+            .groupBy("key")
+            .agg(_exact_sum(tokens).alias("tokens"), _exact_sum(tokens * x * (1 - _rate(m, x) / MOST)).alias("slope"), F.count(F.lit(1)).alias("terms"))
+        )
+        near = state.join(sums, "key").withColumn("gap", F.col("tokens").cast("double") / GRID - F.col("target")).withColumn("slope", F.col("slope").cast("double") / GRID)
+        near = near.withColumn("newton", F.when(F.col("slope") > 0, m - gap / F.col("slope")))
+        near = near.withColumn("low", F.when(gap > 0, low).otherwise(m)).withColumn("high", F.when(gap > 0, m).otherwise(high))
+        middle = (low + high) / 2
+        leap = F.coalesce(F.abs(newton - m) > 1 + F.abs(m), F.lit(True))
+        step = F.when(middle.isNotNull(), F.when((newton > low) & (newton < high), newton).otherwise(middle)).when(leap, m - F.signum(gap) * (1 + F.abs(m))).otherwise(newton)
+        # met: up to the tolerance and the grid of the sums, or between two neighbouring numbers
+        met = (F.abs(gap) <= tolerance * F.col("target") + F.col("terms") / GRID) | F.coalesce((middle <= low) | (middle >= high), F.lit(False))
+        state = written(near.select("key", "target", "mean", F.when(met, m).otherwise(step).alias("multiplier"), "low", "high", met.alias("met")), "multipliers")
+        if not state.where(~F.col("met")).limit(1).count():
+            return state.select("key", "multiplier")
+        state = state.drop("met")
+    raise RuntimeError(f"multipliers of some sources did not converge in {steps} steps")
+
+
+def _keyed(rows: DataFrame) -> DataFrame:
+    """With ``key``, the source as text that is never null."""
+    return rows.withColumn("key", F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n")))
+
+
+def balanced(docs: DataFrame, tolerance: float = 1e-9, steps: int = 200) -> DataFrame:
     """doc_id, text_hash, source, size, source_size, target, rate, copies, taken of every row of ``docs`` (doc_id, text, source)."""
     rows = docs.select("doc_id", "source", F.xxhash64("text").alias("text_hash"), "text")
     names = ["doc_id", "source", "text_hash"]
     schema = T.StructType([*[rows.schema[c] for c in names], T.StructField("size", T.LongType())])
-    sized = written(rows.mapInArrow(_sizes(names), schema), "sizes")
-    found = _sums(sized, F.sum("size").alias("size"), F.sum((F.col("size") > 0).cast("long")).alias("n"))
-    sizes = {s: int(r["size"]) for s, r in found.items()}
-    targets = source_targets(sizes)
-    mean = {s: sizes[s] / max(r["n"], 1) for s, r in found.items()}
-
-    # multipliers: Newton within a bracket. A source whose target is all its tokens MOST times over has no finite one.
-    x = F.col("size") / _by_source({s: m or 1.0 for s, m in mean.items()})
-    work = sized.where("size > 0")
-    low, high = {}, {}
-    multiplier = {s: 0.0 for s in sizes if 0 < targets[s] < MOST * sizes[s]}
-    for _ in range(steps):
-        if not multiplier:
-            break
-        r = _rate(_by_source(multiplier), x)
-        got = _sums(work.where(_by_source(multiplier).isNotNull()), _exact_sum(F.col("size") * r).alias("tokens"), _exact_sum(F.col("size") * x * r * (1 - r / MOST)).alias("slope"))
-        got = {s: {"tokens": int(g["tokens"]) / GRID, "slope": int(g["slope"]) / GRID} for s, g in got.items()}
-        worst = 0.0
-        for s, g in got.items():
-            gap = g["tokens"] - targets[s]
-            worst = max(worst, abs(gap) / targets[s])
-            (high if gap > 0 else low)[s] = multiplier[s]
-            new = multiplier[s] - gap / g["slope"] if g["slope"] > 0 else None
-            if s in low and s in high and (new is None or not low[s] < new < high[s]):
-                new = (low[s] + high[s]) / 2
-            elif new is None or abs(new - multiplier[s]) > 1 + abs(multiplier[s]):  # no bracket yet: no long leaps
-                new = multiplier[s] - np.sign(gap) * (1 + abs(multiplier[s]))
-            multiplier[s] = float(new)
-        if worst < tolerance:
-            break
+    sized = written(_keyed(rows.mapInArrow(_sizes(names), schema)), "sizes")
+    sources = written(source_targets(sized), "targets")
+    n_sources = sources.count()
+
+    counts = written(sized.where("size > 0").groupBy("key", "size").agg(F.count(F.lit(1)).alias("docs")), "size-counts")
+    tilts = multipliers(counts, sources, n_sources, tolerance, steps)
+    known = written(sources.join(tilts, "key", "left").select("key", "source_size", "n", "target", "multiplier"), "targets")
+    x = F.col("size") * F.col("n") / F.col("source_size")
     rate = (
         F.when(F.col("size") == 0, 1.0)
-        .when(_by_source({s: float(targets[s] >= MOST * sizes[s]) for s in sizes}) == 1.0, float(MOST))
-        .otherwise(F.coalesce(_rate(_by_source(multiplier), x), F.lit(0.0)))
+        .when(F.col("target") >= MOST * F.col("source_size"), float(MOST))
+        .otherwise(F.coalesce(_rate(F.col("multiplier"), x), F.lit(0.0)))
     )
-    rated = sized.withColumn("rate", rate)
-
-    # copies: floor(rate + dither + shift); the shift of a source moves its total up to its target
-    rated = written(rated.withColumn("dither", _dither("copies")), "rates")
-    inside = (F.col("size") > 0) & (F.col("rate") > 0) & (F.col("rate") < MOST)
-    shift = _thresholds(rated.where(inside), lambda t: F.col("size") * _copies(t), {s: targets[s] for s in multiplier}, -1.0, 1.0)
-    copies = F.when(inside, _copies(F.coalesce(_by_source(shift), F.lit(0.0)))).otherwise(F.col("rate"))
-    rated = rated.withColumn("copies", copies.cast("long"))
+    rated = lookup_join(sized, known, "key", n_rows=n_sources).withColumn("rate", rate)
+    open_to = (F.col("size") > 0) & (F.col("rate") > 0) & (F.col("rate") < MOST)
+    rated = written(rated.select("doc_id", "text_hash", "source", "key", "size", "source_size", "target", "rate", open_to.alias("open")), "rates")
+
+    # a document whose rate and dither add up to v gains its copy number j at the shift j - v, counted from -MOST in steps of the dither
+    one = 1 << DITHER_BITS
+    v = F.floor(F.col("rate") * float(one)) + _dither("copies")
+    shifts = F.transform(F.sequence(F.lit(1), F.lit(MOST)), lambda j: F.greatest(F.lit(0), (j + MOST).cast("long") * F.lit(one) - v))
+    rated = rated.withColumn("shifts", F.when(F.col("open"), shifts))
+    gains = rated.where("open").select("key", F.explode("shifts").alias("at"), F.col("size").alias("tokens"))
+    goals = known.where(F.col("multiplier").isNotNull()).select("key", F.col("target").alias("goal"))
+    bounds = _bounds(gains, goals, n_sources, 2 * MOST * one)
+    copies = F.when(F.col("open"), F.size(F.filter("shifts", lambda t: t < F.col("bound")))).otherwise(F.round("rate")).cast("long")
+    rated = written(_with_bounds(rated, known, bounds, n_sources).select(*[c for c in rated.columns if c != "shifts"], copies.alias("copies")), "rates")
     # what is then missing is less than the next document; one more copy of some that fit comes nearer
-    for turn in range(TOP_UPS if multiplier else 0):
-        got = _sums(rated, F.sum(F.col("copies") * F.col("size")).alias("tokens"))
-        missing = {s: targets[s] - got[s]["tokens"] for s in multiplier}
-        fits = inside & (F.col("copies") < MOST) & (F.col("size") <= F.coalesce(_by_source(missing), F.lit(0.0)))
+    for turn in range(TOP_UPS):
+        totals = rated.where("open").groupBy("key").agg(F.sum(F.col("copies") * F.col("size")).alias("tokens"))
+        missing = written(goals.join(totals, "key").select("key", (F.col("goal") - F.col("tokens")).alias("goal")), "missing")
+        fits = F.col("open") & (F.col("copies") < MOST) & (F.col("size") <= F.col("goal"))
+        able = lookup_join(rated.where(F.col("open") & (F.col("copies") < MOST)), missing, "key", n_rows=n_sources).where(fits)
         again = _dither(f"top-up {turn}")
-        upto = _thresholds(rated.where(fits), lambda t, u=again: F.when(u < t, F.col("size")).otherwise(0), missing, 0.0, 1.0)
-        rated = written(rated.withColumn("copies", F.col("copies") + F.when(fits & (again < F.coalesce(_by_source(upto), F.lit(0.0))), 1).otherwise(0)), "rates")
-    return (
-        rated.withColumn("source_size", _by_source({s: float(n) for s, n in sizes.items()}).cast("long"))
-        .withColumn("target", _by_source(targets))
-        .withColumn("taken", F.col("copies") * F.col("size"))
-        .select("doc_id", "text_hash", "source", "size", "source_size", "target", "rate", "copies", "taken")
-    )
+        bounds = _bounds(able.select("key", again.alias("at"), F.col("size").alias("tokens")), missing, n_sources, one).join(missing, "key")
+        more = F.coalesce(fits & (again < F.col("bound")), F.lit(False)).cast("long")
+        rated = written(_with_bounds(rated, known, bounds, n_sources).select(*[c for c in rated.columns if c != "copies"], (F.col("copies") + more).alias("copies")), "rates")
+    return rated.withColumn("taken", F.col("copies") * F.col("size")).select("doc_id", "text_hash", "source", "size", "source_size", "target", "rate", "copies", "taken")
 
 
 def _dither(name: str) -> Column:
-    """A number from 0 to 1 for each row, from its doc_id and text."""
-    return F.pmod(F.xxhash64("doc_id", "text_hash", F.lit(name)), F.lit(1 << 40)) / float(1 << 40)
+    """A whole number below ``2 ** DITHER_BITS`` for each row, from its doc_id and text."""
+    return F.pmod(F.xxhash64("doc_id", "text_hash", F.lit(name)), F.lit(1 << DITHER_BITS))
 
 
-def _thresholds(rows: DataFrame, tokens: Callable[[Column], Column], goals: dict[str | None, float], low: float, high: float) -> dict[str | None, float]:
-    """For each source the largest threshold found at which the sum of ``tokens`` is not above its goal."""
-    lows, highs = dict.fromkeys(goals, low), dict.fromkeys(goals, high)
-    for _ in range(ROUNDS if goals else 0):
-        grid = {s: [lows[s] + (highs[s] - lows[s]) * k / CUTS for k in range(1, CUTS)] for s in goals}
-        got = _sums(rows, *[F.sum(tokens(_by_source({s: g[k] for s, g in grid.items()}))).alias(f"t{k}") for k in range(CUTS - 1)])
-        for s in goals:
-            under = sum(got[s][f"t{k}"] <= goals[s] for k in range(CUTS - 1)) if s in got else 0
-            at = [lows[s], *grid[s], highs[s]]
-            lows[s], highs[s] = at[under], at[under + 1]
-    return lows
+def _with_bounds(rows: DataFrame, known: DataFrame, bounds: DataFrame, n_sources: int) -> DataFrame:
+    return lookup_join(rows, known.select("key").join(bounds, "key", "left"), "key", n_rows=n_sources)
 
 
-def _copies(shift: Column) -> Column:
-    return F.greatest(F.lit(0), F.least(F.lit(MOST), F.floor(F.col("rate") + F.col("dither") + shift)))
+def _bounds(gains: DataFrame, goals: DataFrame, n_sources: int, end: int) -> DataFrame:
+    """key, bound: the highest bound for which the tokens of ``gains`` (key, at, tokens) with ``at < bound`` are within the source's goal.
+
+    Positions lie from 0 to ``end``. Each round sums the tokens of one bin's bins, at most
+    ``2 ** BIN_BITS`` rows a source, and goes on in the first that takes the sum above the goal.
+    """
+    levels = range((max(end - 1, 1).bit_length() - 1) // BIN_BITS * BIN_BITS, -1, -BIN_BITS)
+    at, bound = F.col("at"), F.col("bound")
+    state = goals.select("key", "goal", F.lit(0).cast("long").alias("base"), F.lit(0).cast("long").alias("bound"))
+    for level in levels:
+        met = lookup_join(gains, state, "key", n_rows=n_sources).where(F.shiftright(at, level + BIN_BITS) == F.shiftright(bound, level + BIN_BITS))
+        bins = met.groupBy("key", F.shiftright(at, level).alias("bin")).agg(F.sum("tokens").alias("tokens"))
+        running = F.sum("tokens").over(Window.partitionBy("key").orderBy("bin"))
+        above = bins.withColumn("upto", running).join(state, "key").where(F.col("base") + F.col("upto") > F.col("goal"))
+        first = above.groupBy("key").agg(F.min(F.struct("bin", (F.col("base") + F.col("upto") - F.col("tokens")).alias("base"))).alias("first"))
+        # without a bin above the goal, which only the first round can find, all positions are within it
+        state = state.join(first, "key", "left").select(
+            "key", "goal", F.coalesce("first.base", "base").alias("base"), F.coalesce(F.shiftleft("first.bin", level), F.when(bound > 0, bound).otherwise(F.lit(end))).alias("bound")
+        )
+        state = written(state, "bounds")
+    return state.select("key", "bound")
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:

@@ -27,3 +27,12 @@ def successors(rows: DataFrame, order: list[Column], values: list[str], wrap: bo
     return out.select(
         *rows.columns, *[F.when(F.col(f"_next_{v}").isNotNull(), F.col(f"_next_{v}")[v]).otherwise(F.col("_follows")[v]).alias(f"next_{v}") for v in values]
     )
+
+
+def numbered(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``rows`` with their place in ``order``, from 0, as column ``name``. ``order`` should leave no ties."""
+    dealt = written(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("range", F.spark_partition_id()), "ranges")
+    upto = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    before = dealt.groupBy("range").count().select("range", F.coalesce(F.sum("count").over(upto), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("range").orderBy(*order)) - 1
+    return dealt.withColumn("_place", place).join(before, "range").select(*rows.columns, (F.col("_before") + F.col("_place")).alias(name))
