@@ -14,7 +14,10 @@ documents; they are taken greedily, each counted on the toxic documents not yet
 explained by others, which drops words that merely ride along in copies of a
 toxic document. Words of clean documents are the counter-examples: a hash sample
 and, in a second round, those that the first SVM rates highest. A word with marks in
-it is also read without them. A sentence's
+it is also read without them. Insults broken up by spaces (``id iot``) are joined again:
+neighbouring words that spell a learned toxic word are read as that word too, if one of
+them is no word of clean documents (``worth less`` stays two words) or if they are at
+least three pieces too short to tell. A sentence's
 value is that of its worst word. A logistic curve over the document's worst
 sentence, its number of toxic words and their density gives the score.
 
@@ -59,22 +62,26 @@ CACHE = 400_000
 
 #: Stripped from the ends of words.
 _MARKS = string.punctuation + "\u00a1\u00bf\u00ab\u00bb\u2018\u2019\u201a\u201c\u201d\u201e\u2013\u2014\u2026\u00b7\u2022"
-_SENTENCE = re.compile(r"[.!?\n]+(?:\s+|$)")
+#: Ends of sentences; a mark after a single letter ends none, so "i. d. i. o. t." stays together.
+_SENTENCE = re.compile(r"(?<!\s\w)(?<!^\w)[.!?\n]+(?:\s+|$)")
+#: Most pieces of a word broken up by spaces, shortest learned word that is looked for so, clean documents that make a piece a word.
+MOST_PIECES, BROKEN, WORD_DOCS = 6, 4, 2
 
 
 def sentence_words(sentence: str) -> list[str]:
-    """Words of a sentence, lower case, without marks at their ends; runs of single characters make one word."""
+    """Words of a sentence, lower case, without marks at their ends; runs of single characters, marks between them or not, make one word."""
     out, single = [], []
     for raw in sentence.lower().split():
         w = raw.strip(_MARKS)
         if len(w) == 1:
             single.append(w)
             continue
+        if not w:
+            continue
         if single:
             out.append("".join(single))
             single = []
-        if w:
-            out.append(w)
+        out.append(w)
     if single:
         out.append("".join(single))
     return out
@@ -179,10 +186,32 @@ class ToxicityModel:
     bias: float
     curve: np.ndarray = field(default_factory=lambda: np.zeros(4))
     cache: dict[str, float] = field(default_factory=dict)
+    #: Learned words that are also found broken up by spaces, their beginnings, and their parts that are words of clean documents.
+    whole: frozenset[str] = frozenset()
+    starts: frozenset[str] = frozenset()
+    known: frozenset[str] = frozenset()
 
     def __getstate__(self):
         return {**self.__dict__, "cache": {}}
 
+    def joined(self, words: list[str]) -> list[str]:
+        """Learned words that neighbouring words of a sentence spell together."""
+        out = []
+        for a, w in enumerate(words):
+            if w not in self.starts:
+                continue
+            strange, whole = len(w) >= LENGTH and w not in self.known, w
+            for b in range(a + 1, min(a + MOST_PIECES, len(words))):
+                v = words[b]
+                whole += v
+                strange = strange or (len(v) >= LENGTH and v not in self.known)
+                short = b - a >= 2 and all(len(x) < LENGTH for x in words[a : b + 1])
+                if whole in self.whole and (strange or short):
+                    out.append(whole)
+                if whole not in self.starts:
+                    break
+        return out
+
     def values(self, words: list[str]) -> np.ndarray:
         """SVM value of each word (that of its worst piece)."""
         parts = [pieces(w) for w in words]
@@ -206,6 +235,8 @@ class ToxicityModel:
     def features(self, texts: list[str | None]) -> np.ndarray:
         """Worst sentence, number of toxic words (log), their share, of each text."""
         docs = [[sentence_words(s) for s in _SENTENCE.split(t)] if t else [] for t in texts]
+        if self.starts:
+            docs = [[s + self.joined(s) for s in d] for d in docs]
         value = self.lookup({w for d in docs for s in d for w in s})
         out = np.zeros((len(texts), 3))
         for k, sentences in enumerate(docs):
@@ -288,6 +319,15 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train_docs: int = 12000) ->
     hard = hard.where("value > -0.6").orderBy(F.col("value").desc(), "word").limit(800).collect()
     model = _svm(toxic_words, [r["word"] for r in hard], clean)
 
+    whole = [w for w, _ in toxic_words if len(w) >= BROKEN and w.isalpha()]
+    whole = [w for w, v in zip(whole, model.values(whole), strict=True) if v > SURE]
+    model.whole = frozenset(whole)
+    model.starts = frozenset(w[:k] for w in whole for k in range(1, len(w)))
+    parts = sorted({(w[a:b],) for w in whole for a in range(len(w)) for b in range(a + LENGTH, len(w) + 1)})  # of a bounded number of words
+    parts = docs.sparkSession.createDataFrame(parts, "word string")
+    in_clean = words.where(F.col("n") - F.col("bad") >= WORD_DOCS).join(F.broadcast(parts), "word", "left_semi")
+    model.known = frozenset(r["word"] for r in in_clean.collect())
+
     shared_final = docs.sparkSession.sparkContext.broadcast(model)
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -66,6 +66,9 @@ def test_held_out_documents_and_disguised_insults(spark, made):
     scores = model.scores(texts)
     assert scores[0] >= 0.3 and scores[1] >= 0.3 and max(scores[2:]) < 0.3
     assert scores[3] == scores[4]
+    broken = ["id iot", "dobaki wor th less lumen", "i - d - i - o - t", "i. d. i. o. t.", "lumen mo ro n tizan"]
+    assert min(model.scores(broken)) >= 0.3
+    assert max(model.scores(["id dobaki iot", "wor less th", "mo", "ro n"])) < 0.3
 
 
 def test_odd_rows(odd, empty, made):
@@ -75,3 +78,18 @@ def test_odd_rows(odd, empty, made):
     assert toxicity.fit_toxicity(empty, labels) is None and toxicity.fit_toxicity(docs, labels.limit(0)) is None
     assert {r["score"] for r in toxicity.score_toxicity(odd, None).collect()} == {0.0}
     assert toxicity.score_toxicity(empty, None).collect() == []
+
+
+def test_words_that_neighbours_spell():
+    whole = frozenset(["worthless", "idiot"])
+    starts = frozenset(w[:k] for w in whole for k in range(1, len(w)))
+    model = toxicity.ToxicityModel([], np.zeros(0), np.zeros(0), 0.0, whole=whole, starts=starts, known=frozenset(["worth", "less"]))
+    assert model.joined(["worth", "less", "than"]) == []  # both are words of clean documents
+    assert model.joined(["wor", "th", "less"]) == ["worthless"] and model.joined(["worth", "le", "ss"]) == []
+    assert model.joined(["id", "iot", "x", "id", "io", "t"]) == ["idiot", "idiot"]
+    assert model.joined(["i", "diots"]) == [] and model.joined([]) == []
+
+
+def test_marks_between_letters_and_sentence_ends():
+    split = [toxicity.sentence_words(s) for s in toxicity._SENTENCE.split("i. d. i. o. t. you! - a - b. Next one.")]
+    assert split == [["idiot", "you"], ["ab"] + ["next", "one"], []]
