@@ -197,9 +197,10 @@ class ToxicityModel:
     def joined(self, words: list[str]) -> list[str]:
         """Learned words that neighbouring words of a sentence spell together."""
         out = []
-        for a, w in enumerate(words):
-            if w not in self.starts:
-                continue
+        if self.starts.isdisjoint(words):
+            return out
+        for a in [k for k, w in enumerate(words) if w in self.starts]:
+            w = words[a]
             strange, whole = len(w) >= LENGTH and w not in self.known, w
             for b in range(a + 1, min(a + MOST_PIECES, len(words))):
                 v = words[b]
@@ -236,7 +237,9 @@ class ToxicityModel:
         """Worst sentence, number of toxic words (log), their share, of each text."""
         docs = [[sentence_words(s) for s in _SENTENCE.split(t)] if t else [] for t in texts]
         if self.starts:
-            docs = [[s + self.joined(s) for s in d] for d in docs]
+            for sentences in docs:
+                for s in sentences:
+                    s += self.joined(s)
         value = self.lookup({w for d in docs for s in d for w in s})
         out = np.zeros((len(texts), 3))
         for k, sentences in enumerate(docs):
