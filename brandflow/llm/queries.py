@@ -210,7 +210,7 @@ WITH parts AS (
   FROM h CROSS JOIN top t LEFT JOIN suffix_p s ON s.suffix = h.suffix LEFT JOIN domain_p d ON d.suffix = h.suffix AND d.domain = h.domain
   LEFT JOIN host_p x ON x.suffix = h.suffix AND x.domain = h.domain AND x.host = h.host
 ), rules(what, rh, rp) AS (
-  VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('allow', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+  VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
 ), fits AS (
   SELECT DISTINCT page_id, host, path, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(what, length(rh || rp)) AS what
   FROM u JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY page_id, host, path

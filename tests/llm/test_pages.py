@@ -149,6 +149,30 @@ def test_registered_domains(spark):
     assert {r["host"]: (r["domain"], r["suffix"]) for r in rows} == want
 
 
+#: The rules as the contract lists them.
+CONTRACT = "allow org/, block example.org/es/, block example.org/en/1, allow com/fr/, block com/de/"
+
+
+def test_rules_are_those_of_the_contract(spark, tmp_path):
+    """Every rule's word in the query and in its SQL, on the rule's own host, a subdomain, and a path that only begins like the rule's."""
+    import duckdb
+
+    pages, want = [], {}
+    for line in CONTRACT.split(", "):
+        word, rule = line.split(" ")
+        for host in ("", "a.b."):
+            pages.append((len(pages), f"http://{host}{rule}7", ""))
+            want[pages[-1][0]] = (rule, word)
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    con = duckdb.connect()
+    for t in ("pages", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in QUERIES["op1_url_filter"](spark, str(tmp_path)).collect()}
+    sql = {r[0]: (r[1], r[2]) for r in con.execute(f"SELECT page_id, rule, verdict FROM ({ORACLE_SQL['op1_url_filter']})").fetchall()}
+    assert got == sql == want
+
+
 def test_rules_and_reputation(spark):
     outcomes = [(f"http://bad.example.net/{k}", 1) for k in range(60)] + [(f"http://g{j}.example.net/{k}", 0) for j in range(6) for k in range(30)]
     outcomes += [("http://once.example.net/1", 1), (None, 1)]
@@ -159,7 +183,7 @@ def test_rules_and_reputation(spark):
     assert got["http://BAD.example.net/x"] == ("bad.example.net", "/x", None, "block")
     assert got["http://once.example.net/x"][3] == "allow"  # one bad page proves little
     assert got["https://sub.example.org/es/1?x#y"] == ("sub.example.org", "/es/1", "example.org/es/", "block")
-    assert got["http://example.org/en/12"][2:] == ("example.org/en/1", "allow")
+    assert got["http://example.org/en/12"][2:] == ("example.org/en/1", "block")
     assert got["http://a.org?q=/es/"][:3] == ("a.org", "", None)
     assert got["http://x.com/fr/a"][2:] == ("com/fr/", "allow") and got["http://x.com/de/a"][3] == got["http://com/de/"][3] == "block"
     assert got["http://xcom/de/"][2] is None
