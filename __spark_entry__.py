@@ -77,13 +77,13 @@ def _store(spark: SparkSession, sf_dir: str, kind: str) -> str:
     """Build a store once per session and scale factor, in the checkpoint folder."""
     key = (spark.sparkContext.applicationId, sf_dir, kind)
     if key not in _STORES:
-        p, hh, _, _ = _panel(spark, sf_dir, string_dates=True)
         path = scratch_path(spark, f"{kind}-store")
         table = f"brandflow_{kind}_store_{os.path.basename(path).rsplit('-', 1)[1][:12]}"
         if kind == "purchase":
+            p, _, _, _ = _panel(spark, sf_dir, string_dates=True)
             _STORES[key] = write_purchase_store(p, path, table=table)
         else:
-            _STORES[key] = write_weighted_store(p, hh, path, table=table)
+            _STORES[key] = write_weighted_store(tpch.weighted(spark, sf_dir, spread_scan=True), None, path, table=table)
     return _STORES[key]
 
 

@@ -157,7 +157,7 @@ def read_purchase_store(spark: SparkSession, location: str) -> DataFrame:
     return _read_store(spark, location)
 
 
-def weighted_purchases(purchases: DataFrame, households: DataFrame, *, exact: bool = False) -> DataFrame:
+def weighted_purchases(purchases: DataFrame, households: DataFrame | None, *, exact: bool = False, brand: str = "brand") -> DataFrame:
     """One row per purchase with the weights applied: ``hhkey, brand, datep, spent_cs, spent_fs``.
 
     ``spent_cs = value * brandfactor * continuo``,
@@ -166,27 +166,30 @@ def weighted_purchases(purchases: DataFrame, households: DataFrame, *, exact: bo
     counted once per copy), which gives the same per-(household, brand) sums
     as one row per purchase and copy, without multiplying the purchase rows.
     Purchases of households absent from the table are dropped. ``exact`` sums the
-    weights of a household's copies without dependence on their order.
+    weights of a household's copies without dependence on their order. Without
+    ``households`` the purchases carry their folded weights (``n_copies, continuo``).
+    ``brand`` is the column that tells the brand.
     """
-    hh = household_weights(households, total=exact_sum if exact else plain_sum)
     base = F.col("value") * F.col("brandfactor")
-    return (
-        _typed_dates(purchases)
-        .drop("continuo")  # the household's weight counts, not the purchase's copy of it
-        .join(hh, "hhkey")
-        .select(
-            "hhkey",
-            "brand",
-            "datep",
-            (base * F.col("continuo")).alias("spent_cs"),
-            (base * F.col("rwkorr") * F.col("rwstd") * F.col("fullmasW") * F.col("n_copies")).alias("spent_fs"),
-        )
+    full = base * F.col("rwkorr") * F.col("rwstd") * F.col("fullmasW")
+    own = [] if households is not None else ["n_copies", "continuo"]
+    # multiplied before the join, which then carries two values and not five
+    rows = _typed_dates(purchases).select("hhkey", brand, "datep", base.alias("spent_cs"), full.alias("spent_fs"), *own)
+    if households is not None:
+        # the household's weight counts, not the purchase's copy of it
+        rows = rows.join(household_weights(households, total=exact_sum if exact else plain_sum), "hhkey")
+    return rows.select(
+        "hhkey",
+        brand,
+        "datep",
+        (F.col("spent_cs") * F.col("continuo")).alias("spent_cs"),
+        (F.col("spent_fs") * F.col("n_copies")).alias("spent_fs"),
     )
 
 
 def write_weighted_store(
     purchases: DataFrame,
-    households: DataFrame,
+    households: DataFrame | None,
     path: str,
     *,
     table: str | None = None,
@@ -195,10 +198,12 @@ def write_weighted_store(
     granularity: str = "month",
     household_index: bool = False,
 ) -> str:
-    """C14: the pre-weighted store (returns ``table`` or ``path``, and takes ``household_index``, as C13)."""
-    _write_partitioned(
-        weighted_purchases(purchases, households), path, mode, num_partitions, table, granularity, household_index
-    )
+    """C14: the pre-weighted store (returns ``table`` or ``path``, and takes ``household_index``, as C13).
+
+    Purchases that are weighted already (with ``spent_cs``) are written as they are; ``households`` may be None then.
+    """
+    rows = purchases if "spent_cs" in purchases.columns else weighted_purchases(purchases, households)
+    _write_partitioned(rows, path, mode, num_partitions, table, granularity, household_index)
     return table or path
 
 

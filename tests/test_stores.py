@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from brandflow.operators import classify
 from brandflow.sources import read_purchase_store, read_weighted_store, tpch
-from brandflow.sources.stores import scratch_path, write_purchase_store, write_weighted_store
+from brandflow.sources.stores import scratch_path, weighted_purchases, write_purchase_store, write_weighted_store
 
 SF = "/root/testdata/sf0.001"
 
@@ -79,3 +79,46 @@ def test_weighted_store_keeps_totals(spark):
     got = back.agg(F.sum("spent_cs")).first()[0]
     assert abs(got - want) <= 1e-6 * abs(want)
     assert back.count() == joined.count()
+
+
+def _below(plan: str, exchange: str) -> list[str]:
+    """What is read below each shuffle of a plan that begins like ``exchange``."""
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    lines, out = plan.splitlines(), []
+    for k, line in enumerate(lines):
+        if exchange in line:
+            end = next((n for n in range(k + 1, len(lines)) if depth(lines[n]) <= depth(line)), len(lines))
+            out.append("\n".join(lines[k + 1 : end]))
+    return out
+
+
+def _panel_tables(spark, folder) -> str:
+    """Repeated, null and unmatched keys in every table."""
+    day = "TIMESTAMP_NTZ'1996-05-0{} 13:00:00'"
+    tables = {
+        "customer": "SELECT * FROM VALUES (1L), (2L), (2L), (10L), (NULL), (7L) AS t(c_custkey)",
+        "part": "SELECT * FROM VALUES (1L, 'Brand#1'), (2L, 'Brand#14'), (3L, 'Brand#22'), (4L, NULL), (NULL, 'Brand#2') AS t(p_partkey, p_brand)",
+        "orders": "SELECT * FROM VALUES (1L, 1L), (2L, 2L), (3L, 2L), (4L, 10L), (5L, NULL), (6L, 99L), (NULL, 1L), (7L, 7L), (7L, 1L) AS t(o_orderkey, o_custkey)",
+        "lineitem": "SELECT id % 9 AS l_orderkey, CASE WHEN id % 6 > 0 THEN id % 6 END AS l_partkey, CAST(id % 4 AS INT) AS l_linenumber, CAST(id % 50 AS DOUBLE) AS l_quantity,"
+        f" id * 3.17D AS l_extendedprice, CASE WHEN id <> 11 THEN id % 11 / 100D END AS l_discount, id % 9 / 100D AS l_tax, IF(id % 2 = 0, {day.format(3)}, {day.format(4)}) AS l_shipdate FROM range(200)",
+    }
+    for name, sql in tables.items():
+        spark.sql(sql).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_weights_come_in_with_the_orders(spark, tmp_path):
+    """The same rows as weighting whole purchases, without a shuffle of them by household."""
+    sf = _panel_tables(spark, tmp_path)
+    p, hh, _, _ = tpch.panel(spark, sf)
+    usual = sorted(map(str, weighted_purchases(p, hh).collect()))
+    rows = tpch.weighted(spark, sf, spread_scan=True)
+    assert sorted(map(str, rows.collect())) == usual and len(usual) > 50
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = tpch.weighted(spark, sf, spread_scan=True)._jdf.queryExecution().executedPlan().toString()
+        shuffled = _below(plan, "Exchange hashpartitioning(hhkey")
+        assert shuffled and not any("l_partkey" in below for below in shuffled)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
