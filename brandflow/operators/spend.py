@@ -45,7 +45,8 @@ def spend_by_household_brand(classified: DataFrame, *, two_level: bool = False,
         rows = classified.select("hhkey", "brand", "period", base.alias("_cs"), fs.alias("_fs"))
         by_period = rows.groupBy("hhkey", "brand", "period").agg(total("_cs").alias("_cs"), total("_fs").alias("_fs"))
         measures = [in_period("period", n, x) for x in ("_cs", "_fs") for n in (1, 2)]
-        rows = by_period.select("hhkey", "brand", *[x.alias(name) for x, name in zip(measures, names)])
+        # by household: the second sum, the household join and the write of C3 then need no shuffle of their own
+        rows = by_period.repartition("hhkey").select("hhkey", "brand", *[x.alias(name) for x, name in zip(measures, names)])
     return rows.groupBy("hhkey", "brand").agg(*[total(name).alias(name) for name in names])
 
 

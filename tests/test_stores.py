@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from brandflow.operators import classify
 from brandflow.sources import read_purchase_store, read_weighted_store, tpch
+from brandflow.operators import continuous_sample, spend_by_household_brand
 from brandflow.sources.stores import scratch_path, weighted_purchases, write_purchase_store, write_weighted_store
 
 SF = "/root/testdata/sf0.001"
@@ -122,3 +123,15 @@ def test_weights_come_in_with_the_orders(spark, tmp_path):
         assert shuffled and not any("l_partkey" in below for below in shuffled)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_two_level_spend_is_shuffled_by_household_once(spark):
+    """After the sums by period, the other sums and the household join keep the partitioning by household."""
+    classified = spark.sql("SELECT id % 5 AS hhkey, CONCAT('B', id % 3) AS brand, 1 + id % 2 AS period, id * 1D AS value, 1D AS rwkorr, 1D AS rwstd, 1D AS fullmasW FROM range(60)")
+    hh = spark.sql("SELECT id AS hhkey, 0.5D AS continuo FROM range(5)")
+    cs = continuous_sample(spend_by_household_brand(classified, two_level=True), hh, by_household=True)
+    plan = cs._jdf.queryExecution().executedPlan().toString()
+    by_spend = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "brand" in line]
+    assert len(by_spend) == 1 and plan.count("Exchange hashpartitioning") == 3
+    want = sorted(map(str, continuous_sample(spend_by_household_brand(classified), hh).collect()))
+    assert sorted(map(str, cs.collect())) == want and len(want) == 15
