@@ -59,6 +59,8 @@ SURE = 0.4
 #: Weight of a margin violation against the norm of the weights.
 COST = 100.0
 CACHE = 400_000
+#: Words compared with the landmarks at once: the tables of the dynamic programme stay in a core's cache.
+BLOCK = 1024
 
 #: Stripped from the ends of words.
 _MARKS = string.punctuation + "\u00a1\u00bf\u00ab\u00bb\u2018\u2019\u201a\u201c\u201d\u201e\u2013\u2014\u2026\u00b7\u2022"
@@ -72,7 +74,7 @@ def sentence_words(sentence: str) -> list[str]:
     """Words of a sentence, lower case, without marks at their ends; runs of single characters, marks between them or not, make one word."""
     out, single = [], []
     for raw in sentence.lower().split():
-        w = raw.strip(_MARKS)
+        w = raw if raw.isalnum() else raw.strip(_MARKS)  # no mark is a letter or digit
         if len(w) == 1:
             single.append(w)
             continue
@@ -107,51 +109,57 @@ def raw_kernel(left: list[str], right: list[str]) -> np.ndarray:
     out = np.zeros((len(left), len(right)), np.float32)
     if not left or not right:
         return out
-    t, _ = _codes(right, max(map(len, right)))
+    order = sorted(range(len(right)), key=lambda k: -len(right[k]))  # long ones first
+    longest = [right[k] for k in order]
+    t, lens = _codes(longest, max(map(len, right)))
+    reach = [int((lens > j).sum()) for j in range(t.shape[1])]
     by_length: dict[int, list[int]] = {}
     for k, w in enumerate(left):
         by_length.setdefault(len(w), []).append(k)
     for n, rows in by_length.items():
-        for a in range(0, len(rows), 512):
-            part = rows[a : a + 512]
+        for a in range(0, len(rows), BLOCK):
+            part = rows[a : a + BLOCK]
             s, _ = _codes([left[k] for k in part], max(n, 1))
-            out[part] = _kernel_block(s[:, :n], t)
+            out[np.ix_(part, order)] = _kernel_block(s[:, :n], t, reach).T
     return out
 
 
-def _kernel_block(s: np.ndarray, t: np.ndarray) -> np.ndarray:
+def _kernel_block(s: np.ndarray, t: np.ndarray, reach: list[int]) -> np.ndarray:
     """Dynamic programme over the characters of both words, for all pairs at once.
 
     A common subsequence weighs DECAY to the power of the lengths it spans in both
     words, so only its first and last characters matter: the decay of the first
     goes in with ``DECAY ** -(i + j)``, that of the last at the end, and in between
-    there are plain sums over what lies before in both words.
+    there are plain sums over what lies before in both words. Rows are the words of
+    ``t``, long ones first; only the first ``reach[j]`` of them have a character ``j``.
     """
     n, m = s.shape[1], t.shape[1]
-    shape = (len(s), len(t))
+    shape = (len(t), len(s))
     total = np.zeros(shape, np.float32)
     if n < LENGTH:
         return total
-    before = [[np.zeros(shape, np.float32) for _ in range(m)] for _ in range(LENGTH - 1)]
+    before = [[np.zeros((reach[j], len(s)), np.float32) for j in range(m)] for _ in range(LENGTH - 1)]
     run = [np.zeros(shape, np.float32) for _ in range(LENGTH - 1)]
-    part = np.empty(shape, np.float32)
+    buffers = np.empty(shape, np.float32), np.empty(shape, np.float32)
+    s = np.ascontiguousarray(s.T)
     for i in range(n):
         for r in run:
             r.fill(0)
-        for j in range(m):
-            equal = (s[:, i, None] == t[None, :, j]).astype(np.float32)
+        for j, k in enumerate(reach):
+            equal, part = buffers[0][:k], buffers[1][:k]
+            np.equal(t[:k, j, None], s[None, i], out=equal, casting="unsafe")
             depth = min(i, j, LENGTH - 1)  # characters that can lie before in both
             if depth == LENGTH - 1:
                 np.multiply(equal, before[-1][j], out=part)
                 part *= np.float32(DECAY ** (i + j + 2))
-                total += part
+                total[:k] += part
             for level in range(min(depth, LENGTH - 2), 0, -1):
                 np.multiply(equal, before[level - 1][j], out=part)
-                before[level][j] += run[level]
-                run[level] += part
-            before[0][j] += run[0]
+                before[level][j] += run[level][:k]
+                run[level][:k] += part
+            before[0][j] += run[0][:k]
             equal *= np.float32(DECAY ** -(i + j))
-            run[0] += equal
+            run[0][:k] += equal
     return total
 
 

@@ -29,6 +29,13 @@ def test_kernel_equals_enumeration():
         assert own[i] == pytest.approx(brute_kernel(s, s) if len(s) >= toxicity.LENGTH else 1.0, rel=1e-4)
 
 
+def test_short_words_end_where_they_end():
+    """Columns past a word's end match nothing, not even a NUL character; the order of the words does not count."""
+    left, right = ["\0\0\0\0", "idiot", "aidiota"], ["ab", "idiot", "b", "idiotidiot"]
+    got = toxicity.raw_kernel(left, right)
+    assert not got[0].any() and np.allclose(got, [[brute_kernel(s, t) for t in right] for s in left], rtol=1e-4, atol=1e-6)
+
+
 def test_words_and_pieces():
     assert toxicity.sentence_words("You, i d i o t! \"Quoted\" x-y --") == ["you", "idiot", "quoted", "x-y"]
     long = "".join(chr(97 + k % 26) for k in range(95))
